@@ -52,3 +52,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Hold Arrow batches to so many rows, so that a batch of very long texts still fits a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
