@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import oracle
+from . import oracle, spotsigs
 from .common import table
 from .quality_rules import quality_rules
 from .simhash import as_hex, near_duplicates
@@ -21,6 +22,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("s")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("s_edited")).alias("edited_fingerprint"),
+        spotsigs.jaccard(F.col("s"), F.col("s_edited")).alias("near_edited"),
+        spotsigs.jaccard(F.col("s"), F.col("s_next")).alias("near_next"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
