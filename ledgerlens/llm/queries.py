@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from . import oracle, spotsigs
 from .common import table
+from .labelled import held_out
 from .quality_rules import quality_rules
 from .simhash import as_hex, near_duplicates
+from .toxicity import toxicity
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def _scored(rows: DataFrame, least: float) -> DataFrame:
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
     return rows.select(
