@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle, spotsigs
+from . import byte_cnn, oracle, spotsigs
 from .common import table
 from .labelled import held_out
 from .quality_rules import quality_rules
@@ -32,6 +32,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.5)
 
 
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(byte_cnn.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), 0.3)
+
+
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
     return rows.select(
