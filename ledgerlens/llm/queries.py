@@ -11,6 +11,7 @@ from . import byte_cnn, oracle, spotsigs
 from .common import table
 from .labelled import held_out
 from .quality_rules import quality_rules
+from .sharding import shard
 from .simhash import as_hex, near_duplicates
 from .toxicity import toxicity
 
@@ -24,6 +25,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law held is bytes; tokens and rows are balanced with it."""
+    rows = shard(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def _scored(rows: DataFrame, least: float) -> DataFrame:
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
 
