@@ -8,9 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Word separators: space and the ASCII controls 9 to 13.
-SPACES = " \t\n\x0b\f\r"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read through Spark so that any store works."""
@@ -39,7 +36,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """Array of the maximal runs of non-separators in the whole text; null gives an empty array."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\t-\r]", " ")
     return F.array_remove(F.split(spaced, " "), "")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality_rules import COMMON_WORDS, Rules
+from .quality_rules import BINS, COMMON_WORDS, Rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,11 +35,11 @@ chars AS (
   SELECT r, lang, len(w) AS n, length(regexp_replace(body, '[\x20\x09-\x0D]+', '', 'g')) AS chars, {counts} FROM base),
 char_h AS (
   SELECT r, lang, chars, unnest([0, 1, 2, 3, 4]) AS slot,
-         unnest([c0, c1, c2, c3, chars - c0 - c1 - c2 - c3]) / chars AS p
+         unnest([c0, c1, c2, c3, chars - c0 - c1 - c2 - c3]) AS k, k / chars AS p, k * {BINS} // chars AS bin
   FROM chars WHERE chars >= {max(rules.min_chars, 1)}),
 char_m AS (
-  SELECT lang, slot, quantile_disc(p, 0.5) AS m FROM char_h WHERE lang <> '*' GROUP BY ALL
-  UNION ALL SELECT '*', slot, quantile_disc(p, 0.5) FROM char_h GROUP BY ALL),
+  SELECT lang, slot, quantile_disc(bin, 0.5) AS m FROM char_h WHERE lang <> '*' GROUP BY ALL
+  UNION ALL SELECT '*', slot, quantile_disc(bin, 0.5) FROM char_h GROUP BY ALL),
 char_ref AS (SELECT lang, slot, m / sum(m) OVER (PARTITION BY lang) AS q FROM char_m),
 char_d AS (
   SELECT r, sqrt(greatest(sum({jsd}) / 2, 0)) AS d FROM char_h JOIN char_ref USING (lang, slot) GROUP BY r),
@@ -51,9 +51,9 @@ word_k AS (
   FROM chars c JOIN listed l ON c.lang = l.lang LEFT JOIN hits h ON h.r = c.r AND h.slot = l.slot
   WHERE c.n >= {max(rules.min_words, 1)}),
 word_h AS (
-  SELECT r, lang, slot, k / n AS p FROM word_k
-  UNION ALL SELECT r, lang, 12, (n - sum(k)) / n FROM word_k GROUP BY r, lang, n),
-word_m AS (SELECT lang, slot, quantile_disc(p, 0.5) AS m FROM word_h GROUP BY ALL),
+  SELECT r, lang, slot, k / n AS p, k * {BINS} // n AS bin FROM word_k
+  UNION ALL SELECT r, lang, 12, (n - sum(k)) / n, ((n - sum(k)) * {BINS} // n)::BIGINT FROM word_k GROUP BY r, lang, n),
+word_m AS (SELECT lang, slot, quantile_disc(bin, 0.5) AS m FROM word_h GROUP BY ALL),
 word_ref AS (SELECT lang, slot, m / sum(m) OVER (PARTITION BY lang) AS q FROM word_m),
 word_d AS (
   SELECT r, sqrt(greatest(sum({jsd}) / 2, 0)) AS d FROM word_h JOIN word_ref USING (lang, slot) GROUP BY r),

@@ -13,9 +13,10 @@ the verdict columns are put into one struct column, whose name the caller choose
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ COMMON_WORDS = {
 CLASSES = {"lower": r"[^\p{Ll}]+", "upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "stop": r"""[^.,;:!?'"()-]+"""}
 SYMBOLS = r"[^#*$%&|<>]+"
 ANY = "*"
+#: Steps in which the references count shares.
+BINS = 1000
 
 
 @dataclass(frozen=True)
@@ -93,7 +96,7 @@ def _measured(docs: DataFrame, text: str, lang: str) -> tuple[DataFrame, str, st
     w, m = fresh(docs, "words_", "measured_")
     body = F.coalesce(F.col(text), F.lit(""))
     known = F.when(F.col(lang).isin(list(COMMON_WORDS)), F.col(lang)).otherwise(ANY)
-    nonspace = F.length(F.translate(body, " \t\n\x0b\f\r", ""))
+    nonspace = F.length(F.array_join(w, ""))
     out = docs.withColumn(w, words(F.col(text)))
     return out.withColumn(m, F.struct(known.alias("lang"), nonspace.alias("chars"), _char_histogram(body, nonspace).alias("char_h"), _word_histogram(F.col(w), known).alias("word_h"))), w, m
 
@@ -101,20 +104,34 @@ def _measured(docs: DataFrame, text: str, lang: str) -> tuple[DataFrame, str, st
 def fit_references(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> dict[str, dict[str, list[float]]]:
     """Median histograms by language over all documents that are long enough: {language: {"char": [..], "word": [..]}}.
 
-    The result has one row for each listed language and one for all, whatever the size of docs.
+    Shares are counted in BINS steps, so that what is gathered is a count for each language, slot and step,
+    whatever the size of docs.
     """
     measured, w, m = _measured(docs, text, lang)
-    rows = measured.select(F.col(f"{m}.*"), F.size(w).alias("n"))
-    slots = {"char": len(CLASSES) + 1, "word": len(next(iter(COMMON_WORDS.values()))) + 1}
-    enough = {"char": F.col("chars") >= max(rules.min_chars, 1), "word": (F.col("n") >= max(rules.min_words, 1)) & (F.col("lang") != ANY)}
-    total = {"char": F.col("chars"), "word": F.col("n")}
-    parts = [F.percentile_approx(F.when(enough[k], F.get(F.col(f"{k}_h"), F.lit(i)) / total[k]), 0.5, 10000).alias(f"{k}{i}") for k, n in slots.items() for i in range(n)]
-    found = rows.rollup("lang").agg(F.grouping("lang").alias("all"), *parts).collect()
+    total = {"char": F.col(f"{m}.chars"), "word": F.size(w)}
+    enough = {"char": total["char"] >= max(rules.min_chars, 1), "word": (total["word"] >= max(rules.min_words, 1)) & (F.col(f"{m}.lang") != ANY)}
+    none = F.array().cast("array<struct<kind:string,slot:int,bin:bigint>>")
+
+    def bins(kind: str) -> Column:
+        return F.transform(F.col(f"{m}.{kind}_h"), lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("slot"), F.floor(x.cast("long") * BINS / total[kind]).cast("long").alias("bin")))
 
-    def scaled(values: list[float | None]) -> list[float]:
-        return [(v or 0.0) / (sum(x or 0.0 for x in values) or 1.0) for v in values]
+    shares = F.concat(*[F.when(enough[k], bins(k)).otherwise(none) for k in total])
+    seen = measured.select(F.col(f"{m}.lang").alias("lang"), F.explode(shares).alias("s")).groupBy("lang", "s.kind", "s.slot", "s.bin").count()
+    counts: dict[tuple, Counter] = defaultdict(Counter)
+    for r in seen.collect():
+        for key in {r["lang"], ANY}:
+            counts[key, r["kind"], r["slot"]][r["bin"]] += r["count"]
 
-    return {ANY if r["all"] else r["lang"]: {k: scaled([r[f"{k}{i}"] for i in range(n)]) for k, n in slots.items()} for r in found if r["all"] or r["lang"] != ANY}
+    def median(found: Counter) -> float:
+        below = accumulate(found[b] for b in sorted(found))
+        return next((float(b) for b, n in zip(sorted(found), below, strict=True) if 2 * n >= sum(found.values())), 0.0)
+
+    slots = {"char": len(CLASSES) + 1, "word": len(next(iter(COMMON_WORDS.values()))) + 1}
+    out: dict[str, dict[str, list[float]]] = {}
+    for key in {k[0] for k in counts}:
+        raw = {kind: [median(counts[key, kind, i]) for i in range(n)] for kind, n in slots.items()}
+        out[key] = {kind: [x / (sum(xs) or 1.0) for x in xs] for kind, xs in raw.items()}
+    return out
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
@@ -131,7 +148,7 @@ def judge(docs: DataFrame, references: dict, rules: Rules = Rules(), text: str =
     """docs with a struct column ``out``: the counts, both distances (null under their guard) and the verdict."""
     measured, w, m = _measured(docs, text, lang)
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0)
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
     base = fresh(measured, "base_")[0]
     measured = measured.withColumn(
         base,
