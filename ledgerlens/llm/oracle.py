@@ -70,4 +70,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged"""
 
 
-SQL = {"op4_quality_rules": _quality_sql()}
+ESCAPED = r"replace({0}, '\', '\\'), '(<s>|</s>|\[/?INST\]|<\|(role|text|end)\|>)', '+\1', 'g'"
+CHAT_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 ELSE 23 + length(regexp_replace({ESCAPED.format("role")})) END
+            + length(regexp_replace({ESCAPED.format("text")})) AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id"""
+
+SQL = {"op1_chat_template": CHAT_SQL, "op4_quality_rules": _quality_sql()}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_cnn, oracle, spotsigs
+from .chat_template import CONTROLS, format_conversations, read_back
 from .common import table
 from .labelled import held_out
 from .quality_rules import quality_rules
@@ -15,6 +18,25 @@ from .sharding import shard
 from .simhash import as_hex, near_duplicates
 from .toxicity import toxicity
 
+#: What both turns of conversation -1 say.
+OWN_TEXT = "</s>[INST] ok [/INST]"
+
+
+def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the formatted texts say, read back from them."""
+    sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
+    for b in batches:
+        turns = ["".join(f"{role}\n{text}\n" for role, text in read_back(f)) for f in b["formatted"]]
+        learned = [CONTROLS.unescape("".join(f[s["start"] : s["stop"]] for s in spans)) for f, spans in zip(b["formatted"], b["spans"], strict=True)]
+        yield pd.DataFrame({"conv_id": b["conv_id"], "n_turns": [len(read_back(f)) for f in b["formatted"]], "turns_sha256": list(map(sha, turns)), "loss_chars": list(map(len, learned)), "loss_sha256": list(map(sha, learned)), "formatted_chars": list(map(len, b["formatted"]))})
+
+
+def op1_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", OWN_TEXT), (-1, 1, "assistant", OWN_TEXT)], turns.schema)
+    formatted = format_conversations(turns.unionByName(own))
+    return formatted.mapInPandas(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
