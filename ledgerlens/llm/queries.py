@@ -13,6 +13,7 @@ from . import byte_cnn, oracle, spotsigs
 from .chat_template import CONTROLS, format_conversations, read_back
 from .common import table
 from .labelled import held_out
+from .mixing import mix
 from .quality_rules import quality_rules
 from .sharding import shard
 from .simhash import as_hex, near_duplicates
@@ -38,6 +39,22 @@ def op1_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.mapInPandas(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+#: Wanted shares of tokens by language and labelled quality.
+TARGETS = {"en/1": 0.5, "de/1": 0.15, "fr/1": 0.15, "es/1": 0.12, "en/0": 0.05, "de/0": 0.01, "fr/0": 0.01, "es/0": 0.01}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents: language and quality."""
+    known = docs.select("doc_id", "lang").join(labels.select("doc_id", "quality"), "doc_id")
+    return known.where("lang is not null and quality is not null").select("doc_id", F.concat_ws("/", "lang", "quality").alias("domain"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), TARGETS)
+    return mixed.select("doc_id", "mix.tokens", F.array_join(F.transform("mix.posterior", lambda x: F.round(x, 6).cast("string")), ",").alias("posterior"), "mix.rate", "mix.copies")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
