@@ -14,6 +14,7 @@ from .chat_template import CONTROLS, format_conversations, read_back
 from .common import table
 from .labelled import held_out
 from .mixing import mix
+from .packing import pack
 from .quality_rules import quality_rules
 from .sharding import shard
 from .simhash import as_hex, near_duplicates
@@ -39,6 +40,10 @@ def op1_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted.mapInPandas(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 #: Wanted shares of tokens by language and labelled quality.
 TARGETS = {"en/1": 0.5, "de/1": 0.15, "fr/1": 0.15, "es/1": 0.12, "en/0": 0.05, "de/0": 0.01, "fr/0": 0.01, "es/0": 0.01}
 
