@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licences import TEMPLATES
+from .licences import Params as LicenceParams
 from .quality_rules import BINS, COMMON_WORDS, Rules
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -87,4 +89,50 @@ SELECT conv_id, count(*) AS n_turns,
        sum(chars)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id"""
 
-SQL = {"op1_chat_template": CHAT_SQL, "op4_quality_rules": _quality_sql()}
+
+
+def _licence_sql(p: LicenceParams = LicenceParams()) -> str:
+    rows = [(name, text) for name in sorted(TEMPLATES) for text in TEMPLATES[name]]
+    listed = ", ".join(f"({k}, {name!r}, {text!r})" for k, (name, text) in enumerate(rows))
+    cut = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    return rf"""
+WITH files AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body,
+         CASE WHEN doc_id % 8 <> 0 THEN concat(source, '/', lang, '/', doc_id % 7, '/', doc_id, '.txt')
+              WHEN doc_id % 3 = 0 THEN concat(source, '/LICENSE') WHEN doc_id % 3 = 1 THEN concat(source, '/', lang, '/LICENSE')
+              ELSE concat(source, '/', lang, '/', doc_id % 7, '/COPYING.txt') END AS path,
+         doc_id % 8 = 0 AS is_file
+  FROM documents),
+templates(k, license, t) AS (VALUES {listed}),
+tpl AS (SELECT k, license, w, count(*) AS n FROM (SELECT k, license, unnest({cut.format("t")}) AS w FROM templates) GROUP BY ALL),
+words AS (SELECT DISTINCT r, unnest({cut.format("body")}) AS w FROM files),
+df AS (SELECT w, count(*) AS df FROM words WHERE w IN (SELECT w FROM tpl) GROUP BY w),
+total AS (SELECT count(*) AS n FROM files),
+idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tpl) LEFT JOIN df USING (w), total),
+tv AS (SELECT k, license, w, n * idf AS v FROM tpl JOIN idf USING (w)),
+tnorm AS (SELECT k, sqrt(sum(v * v)) AS norm FROM tv GROUP BY k),
+segs AS (
+  SELECT r, i, {cut.format("line")} AS ws
+  FROM (SELECT r, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS i FROM files)
+  UNION ALL SELECT r, 0, {cut.format("body")} FROM files WHERE is_file),
+sw AS (SELECT r, i, w, count(*) AS n FROM (SELECT r, i, unnest(ws) AS w FROM segs) GROUP BY ALL),
+sv AS (SELECT r, i, w, s.n * coalesce(idf, ln(1 + t.n) + 1) AS v FROM sw s LEFT JOIN idf USING (w), total t),
+snorm AS (SELECT r, i, sqrt(sum(v * v)) AS norm FROM sv GROUP BY ALL),
+dots AS (SELECT r, i, k, license, sum(sv.v * tv.v) AS d FROM sv JOIN tv USING (w) GROUP BY ALL),
+scored AS (SELECT r, k, license, round(d / (s.norm * t.norm), 6) AS score FROM dots JOIN snorm s USING (r, i) JOIN tnorm t USING (k)),
+own AS (
+  SELECT r, license, score FROM scored WHERE score >= {p.threshold}
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, k) = 1),
+found AS (
+  SELECT r, doc_id, path, is_file, regexp_replace(path, '/?[^/]*$', '') AS dir, license, score FROM files LEFT JOIN own USING (r)),
+owners AS (
+  SELECT dir AS owner, license AS inherited FROM found WHERE is_file AND license IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1),
+near AS (
+  SELECT dir, owner, inherited FROM (SELECT DISTINCT dir FROM found) JOIN owners ON dir = owner OR owner = '' OR starts_with(dir, owner || '/')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(owner) DESC) = 1)
+SELECT doc_id, path, license AS declared, score, inherited, owner AS inherited_from, coalesce(license, inherited) AS license
+FROM found LEFT JOIN near USING (dir)"""
+
+
+SQL = {"op6_licences": _licence_sql(), "op1_chat_template": CHAT_SQL, "op4_quality_rules": _quality_sql()}

@@ -13,6 +13,7 @@ from . import byte_cnn, oracle, spotsigs
 from .chat_template import CONTROLS, format_conversations, read_back
 from .common import table
 from .labelled import held_out
+from .licences import scan
 from .mixing import mix
 from .packing import pack
 from .quality_rules import quality_rules
@@ -69,6 +70,16 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
 
 
+#: The place of a document in a tree of directories: every eighth is the licence file of its directory, at one of three depths.
+PATH = """CASE WHEN doc_id % 8 <> 0 THEN concat(source, '/', lang, '/', CAST(doc_id % 7 AS string), '/', CAST(doc_id AS string), '.txt')
+  WHEN doc_id % 3 = 0 THEN concat(source, '/LICENSE') WHEN doc_id % 3 = 1 THEN concat(source, '/', lang, '/LICENSE')
+  ELSE concat(source, '/', lang, '/', CAST(doc_id % 7 AS string), '/COPYING.txt') END"""
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{PATH} AS path", "text")).withColumnRenamed("file_id", "doc_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The law held is bytes; tokens and rows are balanced with it."""
     rows = shard(table(spark, sf_dir, "documents"))
