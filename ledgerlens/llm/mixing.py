@@ -94,7 +94,7 @@ def labelled_sample(docs: DataFrame, table: DataFrame, p: Params, doc_id: str =
 
     Only those ids, max_labelled for each domain, are sent to the executors. Held-out rows are left out.
     """
-    usable = table.where("doc_id is not null and domain is not null").where(~held_out("doc_id"))
+    usable = cut(table.select("doc_id", "domain").where("doc_id is not null and domain is not null").where(~held_out("doc_id")))
     domains = sorted(r["domain"] for r in usable.select("domain").distinct().limit(p.max_domains + 1).collect())
     if len(domains) > p.max_domains:
         raise ValueError(f"more than {p.max_domains} domains")
@@ -123,12 +123,12 @@ def rates(posterior: np.ndarray, misses: list[np.ndarray], spread: float, ahead:
     return look if ahead else w
 
 
-def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), tokens: str = "tokens", posterior: str = "posterior", budget: float | None = None) -> list[np.ndarray]:
+def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), tokens: str = "tokens", posterior: str = "posterior", budget: float | str | None = None) -> list[np.ndarray]:
     """Misses for rates(): the scaled residuals of each round of projected gradient.
 
     The misses are weighted by one over the domain's tokens at rate 1, and the documents by their tokens: in these units the Hessian's
     largest eigenvalue is 1 at most, so a step of one is safe, and nearly 1 throughout when the posteriors are sharp.
-    budget is the tokens wanted in all; None keeps as many as there are.
+    budget is the tokens wanted in all; None keeps as many as there are; "cover" takes the least at which no domain shrinks.
     """
     steps: list[np.ndarray] = []
     d = len(targets)
@@ -153,7 +153,10 @@ def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), token
     first, look = totals()
     scale = np.where(first > 0, first, 1.0)
     goal = np.array(targets, dtype=float)
-    goal = goal / goal.sum() * (first.sum() if budget is None else budget)
+    goal = goal / goal.sum()
+    if budget == "cover":
+        budget = float(max((first[goal > 0] / goal[goal > 0]).max(), first.sum()))
+    goal = goal * (first.sum() if budget is None else budget)
     now = first
     wanted = (goal > 0) & (first > 0)
     for _ in range(p.rounds):
@@ -164,7 +167,7 @@ def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), token
     return steps
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], p: Params = Params(), labelled_docs: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", budget: float | None = None, out: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], p: Params = Params(), labelled_docs: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", budget: float | str | None = None, out: str = "mix") -> DataFrame:
     """docs with a struct column ``out``: tokens, domains, posterior, rate and copies.
 
     labelled is (doc_id, domain). Tokens are words. copies is the rate rounded up or down by a hash of id and text, so that its mean is
