@@ -34,11 +34,12 @@ QUOTES = "\"“”„«»"
 
 @dataclass(frozen=True)
 class Params:
-    max_labelled: int = 4000  # of each label: the bound of the sample for fitting
+    max_labelled: int = 2000  # of each label: the bound of the sample for fitting
     min_texts: int = 3
-    max_clean_share: float = 0.005
-    frequent_share: float = 0.1
-    stem_lengths: tuple[int, ...] = (4, 5, 6)
+    max_clean_share: float = 0.03
+    clean_cost: float = 3.0
+    frequent_share: float = 0.03
+    stem_lengths: tuple[int, ...] = (4, 5, 6, 7, 8, 9)
     max_terms: int = 500
     fuzzy_length: int = 5  # terms of so many letters may have one edit
     window: int = 5
@@ -182,31 +183,37 @@ def learn_terms(rows: list[tuple[set[str], str, int]], p: Params) -> list[tuple[
         out = {(w, False) for w in words if len(w) >= 3}
         return out | {(w[:k], True) for w in words for k in p.stem_lengths if len(w) > k}
 
-    clean: Counter = Counter()
-    toxic: list[set] = []
-    for words, _, label in rows:
-        if label:
-            toxic.append(of(words))
-    support = Counter(t for s in toxic for t in s)
+    toxic = [words for words, _, label in rows if label]
+    support: Counter = Counter()
+    for words in toxic:
+        support.update(of(words))
     support = Counter({t: n for t, n in support.items() if n >= p.min_texts})
+    clean: Counter = Counter()
     n_clean = 0
     for words, _, label in rows:
         if not label:
             n_clean += 1
             clean.update(t for t in of(words) if t in support)
     rate = len(toxic) / max(n_clean, 1)
-    pure = {t: n for t, n in support.items() if clean[t] * rate <= p.max_clean_share * n}
+    # By chance a term of n toxic and c clean texts has odds of about C(n + c, c) * share ** n; so many terms make long odds likely.
+    share = len(toxic) / max(len(toxic) + n_clean, 1)
+    least = math.log(max(len(support), 1)) + 1
+
+    def strength(n: int, c: int) -> float:
+        return -n * math.log(max(share, 1e-9)) - (math.lgamma(n + c + 1) - math.lgamma(n + 1) - math.lgamma(c + 1))
+
+    pure = {t: n for t, n in support.items() if clean[t] * rate <= p.max_clean_share * n and strength(n, clean[t]) >= least}
     where: dict[tuple[str, bool], set[int]] = {t: set() for t in pure}
-    for i, s in enumerate(toxic):
-        for t in s:
-            if t in where:
-                where[t].add(i)
+    for i, words in enumerate(toxic):
+        for t in of(words) & pure.keys():
+            where[t].add(i)
     chosen: list[tuple[str, bool]] = []
     left = set(range(len(toxic)))
     order = sorted(pure, key=lambda t: (-pure[t], t[1], -len(t[0]), t))
     while left and len(chosen) < p.max_terms:
-        gains = [(len(where[t] & left), t) for t in order[:4000]]
-        gain = max((g for g, _ in gains), default=0)
+        # A clean text that a term would hit counts against it.
+        gains = [(len(where[t] & left) - p.clean_cost * rate * clean[t], t) for t in order[:4000]]
+        gain = max((g for g, _ in gains), default=0.0)
         if gain < p.min_texts:
             break
         best = [t for g, t in gains if g >= 0.98 * gain]
