@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .common import fresh
 
 
-def numbered(rows: DataFrame, keys: list[str], order: list[Column], out: str, per_block: int = 20_000) -> DataFrame:
+def numbered(rows: DataFrame, keys: list[str], order: list[Column], out: str, per_block: int = 1_000) -> DataFrame:
     """rows with a long column ``out``: 0, 1, 2 .. inside each combination of keys, the same at every run.
 
     A key's rows are spread over blocks by a hash of the order columns, about ``per_block`` rows in each; a row's number is its place
