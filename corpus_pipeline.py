@@ -24,9 +24,13 @@ TOXIC = 0.5
 
 
 def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    q = fresh(docs, "quality")[0]
-    return quality_rules(docs, out=q).where(F.col(f"{q}.kept")).select(docs.columns)
+    """Documents that the quality rules reject go.
+
+    They go by an explode of nothing: a filter would be pushed below the verdict and compute its costly parts once more for each use.
+    """
+    q, k = fresh(docs, "quality", "kept")
+    judged = quality_rules(docs, out=q).select(*docs.columns, F.explode(F.when(F.col(f"{q}.kept"), F.array(F.lit(True)))).alias(k))
+    return judged.select(docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
