@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -53,6 +54,11 @@ SUFFIXES = r"\b(inc|inc\.|incorporated|llc|l\.l\.c|ltd|ltd\.|limited|corp|corp\.
 MATCH_TOKENS = r"\b(inc|incorporated|ltd|limited|llc|corp|corporation|co|company|dba|the)\b"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def truthy(condition: Column) -> Column:
     """condition with null as false: what a comparison with a missing value means here."""
     return F.coalesce(condition, F.lit(False))

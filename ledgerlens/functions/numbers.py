@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .names import truthy
+from .names import let, truthy
 
 # What stands for no value, and for a dash; date formats in the order in which they are tried.
 BLANKS = [""]
@@ -44,16 +44,26 @@ def parse_number(value: Column, dash_is_zero: bool = True) -> Column:
     Signs of currency and per cent and thousands separators are removed, parentheses make it negative. A number is digits with at most one
     point and a sign: exponents and words such as NaN are errors.
     """
-    raw = clean_cell(value)
-    bare = F.regexp_replace(raw, r"[$,%\s]", "")
-    wrapped = bare.startswith("(") & bare.endswith(")")
-    text = F.when(wrapped, F.regexp_replace(bare, r"^\(|\)$", "")).otherwise(bare)
-    number = F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), text.try_cast("decimal(38,6)"))
-    number = F.when(wrapped, -number).otherwise(number)
-    status = F.when(is_blank(raw), "blank").when(is_dash(raw), "dash").when(number.isNull(), "parse_error").when(number == 0, "zero").otherwise("ok")
-    dash = F.lit(0).cast("decimal(38,6)") if dash_is_zero else F.lit(None).cast("decimal(38,6)")
-    value_of = F.when(status == "dash", dash).when(status.isin("zero", "ok"), number)
-    return F.struct(raw.alias("raw"), format_decimal(value_of).alias("normalized"), value_of.alias("number"), status.alias("status"))
+
+    def number_of(raw: Column) -> Column:
+        return let(
+            F.regexp_replace(raw, r"[$,%\s]", ""),
+            lambda bare: let(
+                F.regexp_replace(bare, r"^\((.*)\)$", "$1"),
+                lambda text: F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), text.try_cast("decimal(38,6)") * F.when(bare.startswith("(") & bare.endswith(")"), -1).otherwise(1)).cast("decimal(38,6)"),
+            ),
+        )
+
+    def status_of(raw: Column, number: Column) -> Column:
+        return F.when(is_blank(raw), "blank").when(is_dash(raw), "dash").when(number.isNull(), "parse_error").when(number == 0, "zero").otherwise("ok")
+
+    def result(x: Column) -> Column:
+        dash = F.lit(0).cast("decimal(38,6)") if dash_is_zero else F.lit(None).cast("decimal(38,6)")
+        stated = F.when(x["status"] == "dash", dash).when(x["status"].isin("zero", "ok"), x["number"])
+        return let(stated, lambda v: F.struct(x["raw"].alias("raw"), format_decimal(v).alias("normalized"), v.alias("number"), x["status"].alias("status")))
+
+    parts = let(clean_cell(value), lambda raw: let(number_of(raw), lambda n: F.struct(raw.alias("raw"), n.alias("number"), status_of(raw, n).alias("status"))))
+    return let(parts, result)
 
 
 def usable(parsed: Column) -> Column:
@@ -62,7 +72,10 @@ def usable(parsed: Column) -> Column:
 
 
 def parse_date(value: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)).cast("date") for f in formats])
+    parsed = [F.try_to_timestamp(value, F.lit(f)).cast("date") for f in formats]
+    # Two digits of a year from 69 on belong to the last century.
+    parsed = [F.when(F.year(d) >= 2069, F.add_months(d, -1200)).otherwise(d) if f.endswith("-yy") else d for d, f in zip(parsed, formats, strict=True)]
+    return F.coalesce(*parsed)
 
 
 def has_date(cell: Column) -> Column:

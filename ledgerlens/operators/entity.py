@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.names import match_name, norm_name, sorted_tokens
 from ..schema import DEFAULTS, Params
@@ -29,13 +30,13 @@ def _lcs(a: str, b: str) -> int:
     return len(a) - s.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """100 times the share of characters in the longest common subsequence; 100 for two empty texts."""
     return pd.Series([200.0 * _lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching blocks, which depends on the order of the arguments, to 4 digits."""
     return pd.Series([round(difflib.SequenceMatcher(None, x, y).ratio(), 4) for x, y in zip(a, b, strict=True)], dtype="float64")

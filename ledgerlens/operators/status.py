@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import truthy
 from ..schema import DEFAULTS, EXPECTED, FINANCIAL, FUND, MANAGER, MANDATORY, STATUS, STATUSES, UNCLASSIFIABLE, Params
-from .scorecard import completeness, count_if, missing_list, share, unpivoted
+from .scorecard import completeness, count_if, share, unpivoted
 
 
 def _values() -> tuple[Column, Column, Column, Column]:
@@ -112,8 +112,9 @@ def applicability(real: DataFrame) -> DataFrame:
     The status is the reported one, else the derived. A fully exited row needs proceeds or total value, and is credited for
     proceeds when it has either.
     """
-    rows = with_derived(real)
-    status = F.coalesce(F.col(STATUS), F.when(F.col("derived_status") != UNCLASSIFIABLE, F.col("derived_status")), F.lit(""))
+    known = F.coalesce(F.col(STATUS), F.when(F.col("derived_status") != UNCLASSIFIABLE, F.col("derived_status")), F.lit(""))
+    rows = with_derived(real).withColumn("status_", known)
+    status = F.col("status_")
     gone = status == "Fully Exited"
 
     def expected(i: int) -> Column:
@@ -126,7 +127,7 @@ def applicability(real: DataFrame) -> DataFrame:
         columns[f"a_{f}"] = expected(FINANCIAL.index(f)) if f in FINANCIAL else F.lit(True)
     columns["a_realized_proceeds"] = columns["a_realized_proceeds"] | gone
     columns["p_realized_proceeds"] = F.when(gone, F.col("realized_proceeds").isNotNull() | F.col("total_value").isNotNull()).otherwise(columns["p_realized_proceeds"])
-    return rows.withColumns(columns)
+    return rows.withColumns(columns).drop("status_")
 
 
 def _applicable() -> Column:
@@ -181,9 +182,10 @@ def conditional_cell_accounting(real: DataFrame) -> DataFrame:
 
 
 def conditional_flags(real: DataFrame, keys: list[str]) -> DataFrame:
-    failing = {f: F.col(f"a_{f}") & ~F.col(f"p_{f}") for f in MANDATORY}
-    rows = applicability(real).select(*keys, (_applicable() - _satisfied()).alias("n_missing"), missing_list(MANDATORY, failing).alias("missing_fields"))
-    return rows.where("n_missing > 0")
+    """Rows that lack an expected field, with the fields. The list is computed once; its size is the filter."""
+    lacking = F.array_compact(F.array(*[F.when(F.col(f"a_{f}") & ~F.col(f"p_{f}"), F.lit(f)) for f in MANDATORY]))
+    rows = applicability(real).select(*keys, F.explode(F.array(lacking)).alias("f")).where(F.size("f") > 0)
+    return rows.select(*keys, F.size("f").alias("n_missing"), F.array_join("f", ", ").alias("missing_fields"))
 
 
 def zero_vs_blank(real: DataFrame, p: Params = DEFAULTS) -> DataFrame:
