@@ -29,6 +29,11 @@ def filled(fields: list[str] = MANDATORY) -> Column:
     return sum((F.col(f).isNotNull().cast("int") for f in fields[1:]), F.col(fields[0]).isNotNull().cast("int"))
 
 
+def ratio(part: Column, whole: Column) -> Column:
+    """Null where there is no whole, as over an empty table."""
+    return F.try_divide(part.cast("double"), whole)
+
+
 def completeness(fields: list[str] = MANDATORY) -> Column:
     return F.round(F.sum(filled(fields)) / (F.count("*") * len(fields)), 6)
 
@@ -78,12 +83,12 @@ def review_queue(panel: DataFrame) -> DataFrame:
 def attribute_missingness(panel: DataFrame, fields: list[str]) -> DataFrame:
     row = panel.agg(F.count("*").alias("n"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"missing_{f}") for f in fields])
     out = unpivoted(row, fields, ["n"], {"missing": "missing_cnt"}, "column_name")
-    return out.where("missing_cnt > 0").select("column_name", "missing_cnt", F.round(100 * F.col("missing_cnt") / F.col("n"), 4).alias("missing_pnt"))
+    return out.where("missing_cnt > 0").select("column_name", "missing_cnt", F.round(ratio(100 * F.col("missing_cnt"), F.col("n")), 4).alias("missing_pnt"))
 
 
 def missingness_histogram(panel: DataFrame, fields: list[str]) -> DataFrame:
     row = panel.agg(F.count("*").alias("n"), *[F.count(F.when(F.col(f).isNull(), 1)).alias(f"missing_{f}") for f in fields])
-    out = unpivoted(row, fields, ["n"], {"missing": "k"}, "column_name").select(F.round(100 * F.col("k") / F.col("n"), 4).alias("missing_pnt"))
+    out = unpivoted(row, fields, ["n"], {"missing": "k"}, "column_name").select(F.round(ratio(100 * F.col("k"), F.col("n")), 4).alias("missing_pnt"))
     return out.groupBy("missing_pnt").agg(F.count("*").alias("columns"))
 
 
@@ -111,7 +116,7 @@ def grain_duplicates(panel: DataFrame, keys: list[str], top: int = 5) -> DataFra
 def identifier_integrity(panel: DataFrame, identifiers: list[str]) -> DataFrame:
     stats = [x for i in identifiers for x in (F.countDistinct(i).alias(f"distinct_{i}"), count_if(malformed(F.col(i))).alias(f"bad_{i}"), F.countDistinct(F.when(malformed(F.col(i)), F.col(i))).alias(f"badd_{i}"), F.countDistinct(F.when(malformed(F.col(i)), F.col(FUND))).alias(f"funds_{i}"))]
     out = unpivoted(panel.agg(F.count("*").alias("n"), *stats), identifiers, ["n"], {"distinct": "distinct_values", "bad": "malformed_rows", "badd": "malformed_distinct", "funds": "funds_affected"}, "identifier")
-    return out.withColumn("malformed_share", F.round(F.col("malformed_rows") / F.col("n"), 6)).drop("n")
+    return out.withColumn("malformed_share", F.round(ratio(F.col("malformed_rows"), F.col("n")), 6)).drop("n")
 
 
 def manager_blast_radius(panel: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import truthy
 from ..schema import DEFAULTS, EXPECTED, FINANCIAL, FUND, MANAGER, MANDATORY, STATUS, STATUSES, UNCLASSIFIABLE, Params
-from .scorecard import completeness, count_if, share, unpivoted
+from .scorecard import completeness, count_if, ratio, share, unpivoted
 
 
 def _values() -> tuple[Column, Column, Column, Column]:
@@ -177,7 +177,7 @@ def score_comparison(real: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 def conditional_cell_accounting(real: DataFrame) -> DataFrame:
     n = len(MANDATORY)
-    out = applicability(real).agg((F.count("*") * n).alias("cells"), F.sum(_applicable()).alias("applicable"), F.round(F.sum(reduce(lambda a, b: a + b, [F.col(f"p_{f}").cast("int") for f in MANDATORY])) / (F.count("*") * n), 6).alias("uncond_rate"), F.round(F.sum(_satisfied()) / F.sum(_applicable()), 6).alias("cond_rate"))
+    out = applicability(real).agg((F.count("*") * n).alias("cells"), F.sum(_applicable()).alias("applicable"), F.round(ratio(F.sum(reduce(lambda a, b: a + b, [F.col(f"p_{f}").cast("int") for f in MANDATORY])), F.count("*") * n), 6).alias("uncond_rate"), F.round(ratio(F.sum(_satisfied()), F.sum(_applicable())), 6).alias("cond_rate"))
     return out.withColumn("removed", F.col("cells") - F.col("applicable"))
 
 
