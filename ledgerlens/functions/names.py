@@ -47,6 +47,8 @@ PATTERNS = {
         r"(?i)^\s*secondary\s+market\s+investments?\s*$",
     ],
 }
+# Each pattern above needs one of these, so that most names are decided by one search.
+TRIGGERS = r"(?i)non[- ]?inv|total|gain|accrual|tax|foreign|cash|escrow|receivable|loan|other|seed|diversified|residential|commercial|fund|passive|recycled|secondary"
 REVIEW = r"(?i)^\s*(?:edge|hero|thales|greylock\s+scout)\s+investments?\s*$"
 PREFIX_ONLY = r"(?i)^(?:Net\s+)?Non[- ]?Investments?a?\s+(?:Assets|Liabilities)"
 ID_SHAPE = r"^[0-9A-Za-z]{6,8}$"
@@ -66,14 +68,14 @@ def truthy(condition: Column) -> Column:
 
 def source_asset_class(name: Column) -> Column:
     """First class whose pattern matches; a null or blank name is an accounting entry."""
-    out = F.when(name.isNull() | ~name.rlike(r"\S"), "accounting_entry")
+    out = F.when(name.isNull() | ~name.rlike(r"\S"), "accounting_entry").when(~name.rlike(TRIGGERS), "holding")
     for kind, patterns in PATTERNS.items():
         out = out.when(reduce(or_, [name.rlike(p) for p in patterns]), kind)
     return out.otherwise("holding")
 
 
 def needs_review(name: Column) -> Column:
-    return truthy(name.rlike(REVIEW))
+    return truthy(name.rlike("(?i)investment") & name.rlike(REVIEW))
 
 
 def malformed(identifier: Column) -> Column:

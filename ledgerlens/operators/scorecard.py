@@ -53,7 +53,8 @@ def annotate(panel: DataFrame) -> DataFrame:
 
 
 def scorable(panel: DataFrame) -> DataFrame:
-    return annotate(panel).where("is_scorable")
+    """Annotated rows that are scored. The class decides first, so that the other marks are computed for rows that stay."""
+    return annotate(panel.where(source_asset_class(F.col(ASSET)).isin("holding", "unnamed_aggregate")))
 
 
 def excluded_rows(panel: DataFrame) -> DataFrame:

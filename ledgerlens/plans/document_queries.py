@@ -16,6 +16,7 @@ from ..operators import routing as D
 from ..operators import sampling as G
 from ..operators import schedule as L
 from ..operators import scorecard as S
+from ..sources.readers import spread
 from .holdings import holdings
 from .holdings import sql as panel_sql
 
@@ -51,7 +52,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return _t(spark, sf, "lineitem").selectExpr("*", NUMBERED).selectExpr(*[f"{e} as {c}" for c, e in LINES.items()])
+    return spread(_t(spark, sf, "lineitem")).selectExpr("*", NUMBERED).selectExpr(*[f"{e} as {c}" for c, e in LINES.items()])
 
 
 def _classified(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import PATTERNS, REVIEW
+from ..sources.readers import spread
 
 SPARK_QUARTER = "last_day(add_months(trunc(cast(l_shipdate as date), 'QUARTER'), 2))"
 DUCK_QUARTER = "cast(last_day(date_trunc('quarter', l_shipdate) + interval 2 month) as date)"
@@ -45,7 +46,7 @@ COLUMNS = [*BASE, "total_value", "deal_status"]
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel; the small tables are left to the optimizer to broadcast by their size."""
     t = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    joined = t("lineitem").join(t("orders"), _on("l_orderkey", "o_orderkey")).join(t("supplier"), _on("l_suppkey", "s_suppkey")).join(t("nation"), _on("s_nationkey", "n_nationkey")).join(t("part"), _on("l_partkey", "p_partkey")).join(t("customer"), _on("o_custkey", "c_custkey"))
+    joined = spread(t("lineitem")).join(t("orders"), _on("l_orderkey", "o_orderkey")).join(t("supplier"), _on("l_suppkey", "s_suppkey")).join(t("nation"), _on("s_nationkey", "n_nationkey")).join(t("part"), _on("l_partkey", "p_partkey")).join(t("customer"), _on("o_custkey", "c_custkey"))
     rows = joined.where(KEPT.format(quarter=SPARK_QUARTER)).selectExpr(*[f"{e.format(quarter=SPARK_QUARTER)} as {c}" for c, e in BASE.items()])
     return rows.selectExpr("*", f"{TOTAL} as total_value").selectExpr("*", f"{REPORTED} as deal_status")
 
