@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table, read through Spark so that any store works."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One input table, read through Spark so that any store works; a file of fewer splits than cores is dealt over the cores."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def shared_dir(spark: SparkSession) -> str:
