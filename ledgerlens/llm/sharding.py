@@ -26,7 +26,7 @@ from .ranks import numbered
 class Params:
     shards: int = 8
     grain: float = 1 / 8192  # of a total: smaller groups are bundled, into 1 / grain bundles
-    most: float = 1 / 512  # of a total: larger groups are split into parts
+    most: float = 1 / 32  # of a total, a quarter of one of eight shards: larger groups are split into parts
 
 
 def place(units: np.ndarray, shards: int) -> np.ndarray:
