@@ -56,7 +56,7 @@ def fuzzy_pairs(names: DataFrame, name: str, p: Params = DEFAULTS) -> DataFrame:
     return met.withColumn("similarity", F.round(indel_ratio("ta", "tb"), 4)).where(F.col("similarity") >= p.similarity).select("name_a", "name_b", "similarity")
 
 
-def top_candidates(ours: DataFrame, theirs: DataFrame, least: float = 0.84, top: int = 3, limit: int = 100_000) -> DataFrame:
+def top_candidates(ours: DataFrame, theirs: DataFrame, least: float = 0.84, top: int = 3, limit: int = 2_000) -> DataFrame:
     """(name, candidate, score, rank): the top candidates of each of our names among theirs.
 
     Up to ``limit`` candidates (they are counted first) are broadcast and compared in full. A longer list meets by common pairs of

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import truthy
-from ..functions.numbers import as_of_date
+from ..functions.numbers import MONTHS, as_of_date
 
 # Signals of document classes, titles and header fingerprints of the template families.
 LETTER_SIGNALS = ["investor letter", "a note from", "dear limited partners", "letter to investors"]
@@ -198,6 +198,92 @@ def line_positions(lines: DataFrame) -> DataFrame:
     return lines.select("doc_id", "page", "line_no", "text").groupBy("doc_id").applyInPandas(parse, f"doc_id {kind}, name string, cost double, fair_value double")
 
 
+# What opens lines that are no company, words of securities, and what audited schedules name.
+SKIPPED = ["schedule of", "company name", "confidential", "unrealized", "investment, at fair value", "asset type", "preferred stock", "page ", "the following", *[f"{m} " for m in MONTHS.split("|")]]
+SECURITY_WORDS = ["shares", "preferred", "preference", "common", "note", "warrant", "convertible", "safe", "cost", "fair", "date", "gain", "page", "stock"]
+INDUSTRIES = "Cybersecurity|Software|Technology|Healthcare|Financial"
+SUBTOTAL = r"^\$?\s*([\d,]+)\s+\$?\s*([\d,]+)\s+\$?\s*([\d,.()-]+)\s*$"
+
+
+def _digits(text: Column) -> Column:
+    return F.nullif(F.regexp_replace(text, r"\D", ""), F.lit("")).try_cast("decimal(38,6)")
+
+
+def text_subtotals(lines: DataFrame, skip: list[str] = SKIPPED) -> DataFrame:
+    """Company rows of a schedule with dated lots, from its text: (doc_id, page, line_no, company_name, cost, fair_value).
+
+    A company line (a name, alone or before a date) is active until its subtotal; lots with amounts give a row each and leave it active; a total line
+    right after a company line stands for its subtotal. The state is the last company line since the last subtotal: a window, no loop.
+    """
+    text = F.trim("text")
+    low = F.lower("t")
+    lot = r"\d{2}/\d{2}/\d{4}\s+[\d,]+\s+\$?\s*([\d,]+)\s+\$?\s*([\d,]+)"
+    total = r"(?i)^total\s+\$?\s*([\d,]+)\s+\$?\s*([\d,]+)"
+    start = r"^(\D.*?)\s+\d{1,2}/\d{1,2}/\d{4}\s+"
+    bare = F.col("t").rlike(r"^[A-Z][A-Za-z0-9 .,&'()-]+$") & ~low.contains("total") & (F.length("t") > 3) & ~any_of(low, SECURITY_WORDS)
+    opened = F.trim(F.regexp_extract("t", start, 1))
+    dated = F.col("t").rlike(start) & ~any_of(F.lower(opened), ["shares", "preferred", "preference", "common", "note"])
+    kind = F.when(reduce(or_, [low.startswith(p) for p in skip]), "skip").when(F.col("t").rlike(total), "total").when(F.col("t").rlike(SUBTOTAL), "subtotal").when(F.col("t").rlike(lot), "lot").when(dated | bare, "name")
+    rows = lines.withColumn("t", text).where("t <> ''").withColumn("kind", kind).withColumn("own", F.when(F.col("kind") == "name", F.when(dated, opened).otherwise(F.col("t"))))
+    order = Window.partitionBy("doc_id").orderBy("page", "line_no")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("last_kind", F.last(F.when(F.col("kind").isin("name", "lot"), F.col("kind")), ignorenulls=True).over(before))
+    closes = (F.col("kind") == "subtotal") | ((F.col("kind") == "total") & truthy(F.col("last_kind") == "name"))
+    rows = rows.withColumn("segment", F.coalesce(F.sum(truthy(closes).cast("int")).over(before), F.lit(0)))
+    inside = Window.partitionBy("doc_id", "segment").orderBy("page", "line_no").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("company_name", F.last("own", ignorenulls=True).over(inside)).where(F.col("company_name").isNotNull() & (closes | (F.col("kind") == "lot")))
+    at = lambda i: _digits(F.when(F.col("kind") == "total", F.regexp_extract("t", total, i)).when(F.col("kind") == "subtotal", F.regexp_extract("t", SUBTOTAL, i)).otherwise(F.regexp_extract("t", lot, i)))
+    return rows.select("doc_id", "page", "line_no", "company_name", at(1).alias("cost"), at(2).alias("fair_value"))
+
+
+def audited_positions(lines: DataFrame) -> DataFrame:
+    """Company totals of an audited portfolio schedule: (doc_id, company_name, cost, fair_value).
+
+    A line with name, industry and country opens a company; its first line of bare amounts is the total, else its last line of a series. The
+    lines of a company on a page are one group.
+    """
+    company = rf"^(.+?)\s+(?:{INDUSTRIES})\s+[A-Z][A-Za-z]+"
+    series = r"^(?:Series|Ordinary|Simple|Convertible|Preferred|Common).+?\s+[\d,]+\s+\$?\s*([\d,]+)\s+\$?\s*([\d,]+)"
+    bare = r"^([\d,]+)\s+([\d,]+)\s+[\d,()-]+\s*$"
+    rows = lines.withColumn("t", F.trim(F.regexp_replace(F.trim("text"), r"\*+$", ""))).where("t <> ''").withColumn("plain", F.translate("t", "$", ""))
+    opens = F.col("t").rlike(company)
+    group = F.sum(opens.cast("int")).over(Window.partitionBy("doc_id", "page").orderBy("line_no"))
+    amounts = lambda c, p: F.when(F.col(c).rlike(p), F.struct(_digits(F.regexp_extract(c, p, 1)).alias("cost"), _digits(F.regexp_extract(c, p, 2)).alias("fv")))
+    marked = rows.withColumn("g", group).where("g > 0").withColumn("sub", F.when(~opens, amounts("plain", bare))).withColumn("ser", F.when(~opens, amounts("t", series)))
+    name = F.when(opens, F.trim(F.regexp_replace(F.regexp_extract("t", company, 1), r"\*+$", "")))
+    found = marked.groupBy("doc_id", "page", "g").agg(F.max(name).alias("company_name"), F.min_by("sub", F.when(F.col("sub").isNotNull(), F.col("line_no"))).alias("sub"), F.max_by("ser", F.when(F.col("ser").isNotNull(), F.col("line_no"))).alias("ser"))
+    best = F.coalesce("sub", "ser")
+    first = Window.partitionBy("doc_id", "company_name").orderBy(F.col("sub").isNull(), "page", "g")
+    return found.where(best.isNotNull()).withColumn("r", F.row_number().over(first)).where("r = 1").select("doc_id", "company_name", best["cost"].alias("cost"), best["fv"].alias("fair_value"))
+
+
+def header_layout(words: DataFrame, least: int = 3) -> DataFrame:
+    """(doc_id, page, columns, separators): logical columns of the header line from left to right, and the middles between neighbours.
+
+    A column lies in the middle of the words its first alias covers in the joined line.
+    """
+    line = words.select("doc_id", "page", F.round("top").cast("int").alias("y"), F.struct("x0", "x1", F.lower("text").alias("t")).alias("w")).groupBy("doc_id", "page", "y").agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    line = line.withColumn("text", F.array_join(F.transform("ws", lambda w: w["t"]), " "))
+    starts = F.transform("ws", lambda w, i: F.length(F.array_join(F.transform(F.slice("ws", 1, i), lambda v: v["t"]), " ")) + F.when(i > 0, 1).otherwise(0))
+    line = line.withColumn("at", starts)
+
+    def place(logical: str, alias: str) -> Column:
+        p = F.instr(F.concat(F.lit(" "), "text", F.lit(" ")), f" {alias} ") - 1
+        inside = F.filter(F.arrays_zip("ws", "at"), lambda z: (z["at"] < p + len(alias)) & (z["at"] + F.length(z["ws"]["t"]) > p))
+        middle = (F.array_min(F.transform(inside, lambda z: z["ws"]["x0"])) + F.array_max(F.transform(inside, lambda z: z["ws"]["x1"]))) / 2
+        return F.when(p >= 0, F.struct(middle.alias("x"), F.lit(logical).alias("name")))
+
+    found = F.array_sort(F.array_compact(F.array(*[F.coalesce(*[place(logical, a) for a in aliases]) for logical, aliases in HEADER_ALIASES.items()])))
+    hits = line.withColumn("c", found).where(F.size("c") >= least).withColumn("r", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "y"))).where("r = 1")
+    middles = F.transform(F.slice("c", 2, F.size("c") - 1), lambda x, i: (x["x"] + F.get("c", i)["x"]) / 2)
+    return hits.select("doc_id", "page", F.array_join(F.transform("c", lambda x: x["name"]), ",").alias("columns"), F.array_join(F.transform(middles, lambda x: F.round(x, 1).cast("string")), ",").alias("separators"))
+
+
+def scaled_layout(separators: list[float], width: float, base_width: float = 1070.0) -> list[float]:
+    """Separators of a family's page width for a page of another width."""
+    return [round(x * width / base_width, 1) for x in separators]
+
+
 def fund_aggregate(lines: DataFrame, most: int = 6) -> DataFrame:
     """(doc_id, cost, fair_value, unrealized, as_of) from the line of total investments on the first pages."""
     pattern = r"investments, at fair value \(cost:? \$?\s*([\d,]+)\)\s*\$?\s*([\d,]+)"

@@ -291,6 +291,25 @@ AGGREGATE = ["Statement of financial condition", "as of March 31, 2026", "Invest
 HEADER = "Company Name Date Round # Shares Cost/Share FMV/Share Cost Fair Value"
 
 
+SUBTOTALS = ["Schedule of Investments", "Acme Robotics 01/02/2020 Series A", "$ 1,000 $ 1,500 500", "Beta Health", "01/02/2020 100 $ 2,000 $ 2,500", "Series A preferred", "Total $ 2,000 $ 2,500", "Gamma Labs", "Total 700 900", "5 6 7"]
+AUDITED = ["Alpha Systems** Software USA", "Series A 10 1,000 2,000", "Series B 10 3,000 4,000", "Beta Cyber Cybersecurity Israel", "Series A 10 100 200", "300 500 200", "9 9 9"]
+
+
+def text_subtotals(spark: SparkSession, sf: str) -> DataFrame:
+    rows = D.text_subtotals(_statement(spark, SUBTOTALS))
+    return rows.select("doc_id", "line_no", "company_name", F.col("cost").cast("double").alias("cost"), F.col("fair_value").cast("double").alias("fair_value"))
+
+
+def audited_positions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = D.audited_positions(_statement(spark, AUDITED))
+    return rows.select("doc_id", "company_name", F.col("cost").cast("double").alias("cost"), F.col("fair_value").cast("double").alias("fair_value"))
+
+
+def header_layout(spark: SparkSession, sf: str) -> DataFrame:
+    words = [("d1", 1, i, w, 10.0 * i, 100.2, 10.0 * i + 8, 110.0) for i, w in enumerate("Company Name Date Cost Fair Value".split())]
+    return D.header_layout(spark.createDataFrame(words, "doc_id string, page int, word_no int, text string, x0 double, top double, x1 double, bottom double"))
+
+
 def condensed_positions(spark: SparkSession, sf: str) -> DataFrame:
     return D.condensed_positions(_statement(spark, CONDENSED))
 
@@ -459,6 +478,9 @@ SQL |= {
     "inferred_positions": _values("doc_id, name, cost, fair_value", [("d1", "Beta Robotics", 1000.0, 1500.0), ("d1", "Gamma Health", 2000.0, 2500.0), ("d1", "Delta", 700.0, 700.0)]),
     "fund_aggregate": _values("doc_id, cost, fair_value, unrealized, as_of", [("d1", 1200000.0, 1500000.0, 300000.0, "2026-03-31")]),
     "schema_inference": _values("doc_id, page, columns, confidence, grain", [("d1", 1, "entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value", 0.95, "lot")]),
+    "text_subtotals": _values("doc_id, line_no, company_name, cost, fair_value", [("d1", 2, "Acme Robotics", 1000.0, 1500.0), ("d1", 4, "Beta Health", 2000.0, 2500.0), ("d1", 8, "Gamma Labs", 700.0, 900.0)]),
+    "audited_positions": _values("doc_id, company_name, cost, fair_value", [("d1", "Alpha Systems", 3000.0, 4000.0), ("d1", "Beta Cyber", 300.0, 500.0)]),
+    "header_layout": _values("doc_id, page, columns, separators", [("d1", 1, "entity_name,investment_date,cost,fair_value", "16.5,29.0,41.5")]),
     "eligible_scored": f"with {panel_sql()}, {_FUND_STATS}, x as (select h.fund_id, round(sum((capital_invested is not null)::int + (current_cost is not null)::int + (unrealized_value is not null)::int + (realized_proceeds is not null)::int + (deal_status is not null)::int + (sector is not null)::int + (geographic_focus is not null)::int) / (count(*) * 7), 6) as completeness from h join fw using (fund_id) where as_at_date = date '1998-12-31' and not coalesce(regexp_matches(source_asset, '{N.PREFIX_ONLY}'), false) and fw.k >= 1 and fw.n between {PARAMS.least} and {PARAMS.most} group by 1) select *, dense_rank() over (order by completeness desc) as tier from x",
     "entity_mappings": f"with v as (select {_match.format('p_name')} as form, max_by(p_name, p_partkey) as vendor_name from part where p_partkey % 2 = 0 group by 1), o as (select {FORMS} as name, p_partkey as position from part where p_partkey % 3 = 0 and p_partkey < 400), r as (select {FORMS} as name, p_partkey as position from part where p_partkey % 5 = 0 and p_partkey < 700), mine as (select name, form, vendor_name from (select *, {_match.format('name')} as form from o) join v using (form) qualify row_number() over (partition by vendor_name order by position) = 1), sold as (select {_match.format('name')} as form, max_by(name, position) as realized_name from r group by 1) select name, realized_name, vendor_name, 'confirmed' as mapping_status from mine left join sold using (form) union all select null, name, vendor_name, 'confirmed_realized_only' from (select *, {_match.format('name')} as form from r) join v using (form) where vendor_name not in (select vendor_name from mine) qualify row_number() over (partition by vendor_name order by position) = 1",
     "statement_metadata": "select field, parse_status, sum(n)::bigint as documents from (select 'as_of_date' as field, 'not_disclosed' as parse_status, count(*) as n from documents union all select 'audit_status', 'not_disclosed', count(*) from documents union all select 'currency_symbol', 'not_disclosed', count(*) from documents union all select 'currency', 'not_disclosed', count(*) from documents union all select 'unit', 'not_disclosed', count(*) from documents) group by 1, 2",
