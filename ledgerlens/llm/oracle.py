@@ -5,6 +5,7 @@ from __future__ import annotations
 from .licences import TEMPLATES
 from .licences import Params as LicenceParams
 from .quality_rules import BINS, COMMON_WORDS, Rules
+from .spotsigs import ANCHORS, CHAIN
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -135,4 +136,34 @@ SELECT doc_id, path, license AS declared, score, inherited, owner AS inherited_f
 FROM found LEFT JOIN near USING (dir)"""
 
 
-SQL = {"op6_licences": _licence_sql(), "op1_chat_template": CHAT_SQL, "op4_quality_rules": _quality_sql()}
+def _spotsigs_sql(chain: int = CHAIN) -> str:
+    anchors = ", ".join(f"'{w}'" for w in sorted({w for ws in ANCHORS.values() for w in ws}))
+    links = ", ".join(f"content[i - r + {j + 1}]" for j in range(chain))
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next_text
+  FROM documents),
+edits AS (SELECT *, substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) AS edited FROM docs),
+kinds AS (
+  SELECT doc_id, 's' AS kind, text AS t FROM edits UNION ALL SELECT doc_id, 'e', edited FROM edits
+  UNION ALL SELECT doc_id, 'n', next_text FROM edits),
+tokens AS (SELECT doc_id, kind, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}\p{{M}}]+'), lambda x: x <> '') AS ws FROM kinds),
+split AS (SELECT *, list_filter(ws, lambda x: x NOT IN ({anchors})) AS content FROM tokens),
+placed AS (SELECT doc_id, kind, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM split),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY i) AS r FROM placed WHERE w IN ({anchors})),
+sigs AS (
+  SELECT doc_id, kind, list_sort(list(DISTINCT concat_ws(' ', w, {links}))) AS s
+  FROM ranked JOIN split USING (doc_id, kind) WHERE i - r < len(content) GROUP BY ALL),
+sets AS (SELECT t.doc_id, t.kind, coalesce(s, ['= ' || array_to_string(ws, ' ')]) AS s FROM tokens t LEFT JOIN sigs USING (doc_id, kind)),
+wide AS (
+  SELECT doc_id, any_value(s) FILTER (kind = 's') AS a, any_value(s) FILTER (kind = 'e') AS b, any_value(s) FILTER (kind = 'n') AS c
+  FROM sets GROUP BY doc_id)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256,
+       md5(array_to_string(a, chr(10))) AS fingerprint, md5(array_to_string(b, chr(10))) AS edited_fingerprint,
+       len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) AS near_edited,
+       len(list_intersect(a, c)) / (len(a) + len(c) - len(list_intersect(a, c))) AS near_next
+FROM edits JOIN wide USING (doc_id)"""
+
+
+SQL = {"op10_spotsigs": _spotsigs_sql(), "op6_licences": _licence_sql(), "op1_chat_template": CHAT_SQL, "op4_quality_rules": _quality_sql()}

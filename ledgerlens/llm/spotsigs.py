@@ -2,7 +2,7 @@
 
 Theobald et al., "SpotSigs: Robust and Efficient Near Duplicate Detection" (2008). Each common word is an anchor; the anchor
 with the chain of the next ``chain`` content words (words that are no anchors) is one signature. A document is the set of its
-signatures as 64-bit hashes, its fingerprint a digest of the set, likeness the Jaccard of two sets.
+signatures, its fingerprint a digest of the set, likeness the Jaccard of two sets.
 
 A text without any signature (no anchor before a content word) has one: that of its whole word sequence. So short
 texts are alike only if their words are the same. Null texts count as empty; empty texts equal each other.
@@ -28,7 +28,7 @@ BREAK = r"[^\p{L}\p{N}\p{M}]+"
 
 
 def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """Distinct signature hashes of the whole text, never empty.
+    """Distinct signatures of the whole text, never empty.
 
     The r-th anchor at word i has i - r content words before it, so its chain starts at content word i - r: no scan
     from each anchor is needed.
@@ -40,16 +40,16 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
         content = F.filter(words, lambda w: ~w.isin(anchors))
         marked = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
         at = F.filter(marked, lambda m: m["w"].isin(anchors))
-        made = let(content, lambda c: F.transform(at, lambda m, r: F.when(m["i"] - r < F.size(c), F.xxhash64(m["w"], *[F.get(c, m["i"] - r + j) for j in range(chain)]))))
+        made = let(content, lambda c: F.transform(at, lambda m, r: F.when(m["i"] - r < F.size(c), F.concat_ws(" ", m["w"], *[F.get(c, m["i"] - r + j) for j in range(chain)]))))
         found = F.array_distinct(F.filter(made, lambda s: s.isNotNull()))
-        return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.xxhash64(F.array_join(words, " ")))))
+        return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.concat(F.lit("= "), F.array_join(words, " ")))))
 
     return let(tokens, spots)
 
 
 def fingerprint(signature_set: Column) -> Column:
     """Digest of a signature set, the same for every order of it."""
-    return F.md5(F.array_join(F.transform(F.sort_array(signature_set), lambda s: F.hex(s)), ","))
+    return F.md5(F.array_join(F.sort_array(signature_set), "\n"))
 
 
 def jaccard(a: Column, b: Column) -> Column:
