@@ -15,7 +15,8 @@ from ledgerlens.llm.common import fresh, shared_dir, table
 from ledgerlens.llm.mixing import mix
 from ledgerlens.llm.packing import pack
 from ledgerlens.llm.quality_rules import quality_rules
-from ledgerlens.llm.simhash import keep_one
+from ledgerlens.llm.shingle_join import near_duplicates
+from ledgerlens.llm.simhash import keep_named
 from ledgerlens.llm.toxicity import toxicity
 
 #: Wanted shares of tokens by language. The total is the least at which no language shrinks.
@@ -40,8 +41,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return keep_one(docs).select(docs.columns)
+    """One document of each group of near duplicates stays: those that share four fifths or more of their five-word shingles."""
+    return keep_named(docs, near_duplicates(docs)).select(docs.columns)
 
 
 def balance(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,7 +89,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
 
     Of rows that repeat this id one stays, any of them. Rows with a null id can't be named and all stay.
     """
-    found = near_duplicates(docs, doc_id, text, radius, shingle)
+    return keep_named(docs, near_duplicates(docs, doc_id, text, radius, shingle), doc_id)
+
+
+def keep_named(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """docs with one row of each component of found (doc_id, component_id), as ``keep_one`` says."""
     best = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
     keep = docs.where(F.col(doc_id).isNull()).unionByName(docs.join(best.where("n = 1").select(F.col("doc_id").alias("_keep")), F.col(doc_id) == F.col("_keep"), "left_semi"))
     if best.where("n > 1").isEmpty():
