@@ -353,7 +353,7 @@ def onboarding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spot_checks(spark: SparkSession, sf: str) -> DataFrame:
-    g = C.gates(_gate_documents(spark, sf).orderBy("doc_id").limit(1))
+    g = C.gates(_gate_documents(spark, sf))
     dictionary = C.field_dictionary(spark.createDataFrame([(f, "approximate") for f in [*C.AMOUNT_FIELDS, "sector"]], "logical_field string, mapping_type string"))
     return C.spot_checks(g, dictionary, C.amount_comparison(_metrics(spark, sf), _vendor(spark, sf))).groupBy("kind", "status").agg(F.count("*").alias("rows"))
 
