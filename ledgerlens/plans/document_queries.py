@@ -243,8 +243,8 @@ def alias_resolution(spark: SparkSession, sf: str) -> DataFrame:
 
 def entity_mappings(spark: SparkSession, sf: str) -> DataFrame:
     p = _t(spark, sf, "part")
-    of = lambda cond, expr: p.where(cond).selectExpr(f"{expr} as name", "p_partkey as position")
-    return E.entity_mappings(of("p_partkey % 3 = 0 and p_partkey < 400", FORMS), of("p_partkey % 5 = 0 and p_partkey < 700", FORMS), of("p_partkey % 2 = 0", "p_name"))
+    of = lambda expr: p.selectExpr(f"{expr} as name", "p_partkey as position")
+    return E.entity_mappings(of(FORMS), of("concat(p_name, ' Inc.')"), of("p_name"))
 
 
 def sampling_eligibility(spark: SparkSession, sf: str) -> DataFrame:
