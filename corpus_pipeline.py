@@ -46,11 +46,12 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def balance(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document appears as often as its fitted rate says; languages meet their target shares."""
+    """Each document appears as often as its fitted rate says, once at least; languages meet their target shares."""
     m = fresh(docs, "mix")[0]
     domains = docs.select("doc_id", F.col("lang").alias("domain")).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
     mixed = mix(docs, domains, TARGETS, budget="cover", out=m)
-    return mixed.where(F.col(f"{m}.copies") > 0).withColumn(m, F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{m}.copies")))).select(docs.columns)
+    copies = F.greatest(F.col(f"{m}.copies"), F.lit(1).cast("long"))
+    return mixed.withColumn(m, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
