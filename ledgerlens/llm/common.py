@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -17,10 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
+    """The folder that all executors share, as spark.checkpoint.dir names it.
+
+    Where the session names none, a temporary one is made if all runs in this process (a local master); on a cluster that is an
+    error, as each machine would write to a folder of its own.
+    """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ckpt-"))
     return sc.getCheckpointDir()
 
@@ -53,6 +60,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def refuse(df: DataFrame, out: str) -> None:
+    """An error where df has a column of this name already (comparison ignores case), which the result would hide."""
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the column {out} exists already; choose another name by out=")
+
+
 def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
     """Hold Arrow batches to so many rows, so that a batch of very long texts still fits a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

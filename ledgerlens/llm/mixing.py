@@ -4,12 +4,18 @@ A classifier fitted on a bounded labelled table gives each document a posterior
 documents, by projected gradient on a least squares problem, so that the expected tokens of each domain, summed over
 documents as rate * tokens * posterior, match the targets.
 
-The gradient of a document's rate depends on its posterior and the few residuals of the domains only. So the state of the iteration is the
-list of residuals, a few numbers a round: every pass recomputes the rates from that list and sums one vector on the
-executors. No rate is stored between passes, and a lost executor costs a recomputation of its part.
+The squares are taken in the metric of the inverse Gram matrix G of the posteriors (the sum of tokens * posterior * posterior'),
+a few numbers summed once. In it every direction that the rates can move the totals in has curvature 1, so a step of one
+meets the targets at once as long as no rate turns negative, however much the domains overlap; only rates held at zero take more rounds.
 
-Defined results: a null or empty text has no tokens, gets the prior as posterior and rate 1 at first, and
+The gradient of a document's rate depends on its posterior and the few residuals of the domains only. So what a round adds to the
+state of the iteration is one step of a few numbers: every pass recomputes the rates from the steps and sums one vector on the
+executors. Every ``replay`` rounds the rates go to the shared folder, so work grows with the rounds and not with their square; a lost
+executor costs a recomputation of its part.
+
+Defined results: a null or empty text has no tokens, gets the prior as posterior and
 can't change any total; a domain that no document belongs to can't be filled and is left out of the fit; an empty table gives an empty result.
+Targets that nonnegative rates can't meet are met as nearly as the rounds allow; ``miss`` in the result says how nearly.
 """
 
 from collections.abc import Iterator
@@ -20,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, cut, fresh, words
+from .common import bounded_batches, cut, fresh, refuse, words
 from .labelled import held_out
 
 
@@ -31,9 +37,11 @@ class Params:
     features: int = 1 << 16
     epochs: int = 40
     rate: float = 2.0
-    rounds: int = 40
+    rounds: int = 200
+    replay: int = 16  # rounds after which the rates are written, so that no pass goes through more steps than that
+    gain: float = 1e-3  # part of the squares that so many rounds must win, else no better rates are in reach
     tolerance: float = 1e-3  # greatest relative miss of a target at which the fit stops
-    spread: float = 0.0  # pull of the rates towards 1
+    flat: float = 1e-9  # directions of G below this part of its largest eigenvalue are left alone
 
 
 # ---- the classifier: multinomial logistic regression on the shares of byte pairs
@@ -111,89 +119,129 @@ def labelled_sample(docs: DataFrame, table: DataFrame, p: Params, doc_id: str =
 # ---- the rates
 
 
-def rates(posterior: np.ndarray, misses: list[np.ndarray], spread: float, ahead: bool = False) -> np.ndarray:
-    """Rates after one accelerated projected-gradient step (Nesterov) for each of misses, from 1, for a matrix of posteriors.
+def rates(posterior: np.ndarray, steps: list[np.ndarray], begun: int = 0, state: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after one accelerated projected-gradient step (Nesterov) for each of steps, for a matrix of posteriors.
 
-    Never negative. ahead gives the extrapolated rates instead, at which the next round's misses are measured.
+    They start from 1, or from the state that ``begun`` steps gave. Never negative. The second array are the extrapolated rates, at
+    which the next round's totals are measured.
     """
-    w = last = look = np.ones(len(posterior))
-    for k, miss in enumerate(misses):
-        last, w = w, np.maximum(0.0, look - posterior @ miss - spread * (look - 1))
+    w, look = state or (np.ones(len(posterior)), np.ones(len(posterior)))
+    for k, step in enumerate(steps[begun:], begun):
+        last, w = w, np.maximum(0.0, look - posterior @ step)
         look = w + k / (k + 3) * (w - last)
-    return look if ahead else w
+    return w, look
+
+
+def _replayed(b: pd.DataFrame, steps: list[np.ndarray], begun: int, d: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Tokens, posteriors and rates of a batch of the state (n, q, and w, look once begun)."""
+    q = np.concatenate(b["q"].to_numpy()).reshape(len(b), d)
+    return b["n"].to_numpy(dtype=float), q, rates(q, steps, begun, (b["w"].to_numpy(), b["look"].to_numpy()) if begun else None)
+
+
+def _totals(state: DataFrame, steps: list[np.ndarray], begun: int, d: int, gram: bool = False) -> np.ndarray:
+    """Tokens by domain at the rates of now and at those extrapolated; with gram also G, at rate 1. One pass, one row from each task."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2 + gram * d, d))
+        for b in batches:
+            if len(b):
+                n, q, both = _replayed(b, steps, begun, d)
+                total[:2] += np.stack([(n * w) @ q for w in both])
+                if gram:
+                    total[2:] += (q * n[:, None]).T @ q
+        yield pd.DataFrame({"t": [total.ravel()]})
+
+    sums = state.mapInPandas(part, "t array<double>").agg(*[F.sum(F.get("t", F.lit(i))).alias(f"t{i}") for i in range((2 + gram * d) * d)]).first()
+    return np.array([x or 0.0 for x in sums]).reshape(-1, d)
+
+
+def _written(state: DataFrame, steps: list[np.ndarray], begun: int, d: int) -> DataFrame:
+    """The state after all steps, in the shared folder."""
 
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                _, _, (w, look) = _replayed(b, steps, begun, d)
+                yield b[["n", "q"]].assign(w=w, look=look)
 
-def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), tokens: str = "tokens", posterior: str = "posterior", budget: float | str | None = None) -> list[np.ndarray]:
-    """Misses for rates(): the scaled residuals of each round of projected gradient.
+    return cut(state.mapInPandas(part, "n long, q array<double>, w double, look double"))
 
-    The misses are weighted by one over the domain's tokens at rate 1, and the documents by their tokens: in these units the Hessian's
-    largest eigenvalue is 1 at most, so a step of one is safe, and nearly 1 throughout when the posteriors are sharp.
-    budget is the tokens wanted in all; None keeps as many as there are; "cover" takes the least at which no domain shrinks.
+
+@dataclass
+class Fit:
+    steps: list[np.ndarray]  # for rates()
+    miss: float  # greatest relative miss of a target at these rates
+
+
+def fit_rates(soft: DataFrame, targets: list[float], p: Params = Params(), tokens: str = "tokens", posterior: str = "posterior", budget: float | str | None = None) -> Fit:
+    """Steps for rates(), one a round until every target is met within the tolerance, or the squares hardly fall any more.
+
+    budget is the tokens wanted in all; None keeps as many as there are; "cover" takes the least at which no domain shrinks. A target
+    of 0 is missed by what is left there, as a part of the budget.
     """
     steps: list[np.ndarray] = []
-    d = len(targets)
-
-    def totals() -> tuple[np.ndarray, np.ndarray]:
-        """Tokens by domain at the rates of now, and at those extrapolated."""
-        now = list(steps)
-
-        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros((2, d))
-            for b in batches:
-                if len(b):
-                    q, n = np.stack(b["q"].to_numpy()), b["n"].to_numpy(dtype=float)
-                    total += np.stack([(n * rates(q, now, p.spread, ahead)) @ q for ahead in (False, True)])
-            yield pd.DataFrame([total.ravel().tolist()], columns=names)
-
-        names = [f"t{i}" for i in range(2 * d)]
-        sums = soft.select(F.col(tokens).alias("n"), F.col(posterior).alias("q")).mapInPandas(part, ", ".join(f"{t} double" for t in names))
-        now_sums = [x or 0.0 for x in sums.agg(*[F.sum(t).alias(t) for t in names]).first()]
-        return np.array(now_sums[:d]), np.array(now_sums[d:])
-
-    first, look = totals()
-    scale = np.where(first > 0, first, 1.0)
+    begun, d = 0, len(targets)
+    state = soft.select(F.col(tokens).cast("long").alias("n"), F.col(posterior).alias("q"))
+    first, look, *gram = _totals(state, steps, begun, d, gram=True)
+    open_ = first > 0
     goal = np.array(targets, dtype=float)
     goal = goal / goal.sum()
     if budget == "cover":
         budget = float(max((first[goal > 0] / goal[goal > 0]).max(), first.sum()))
-    goal = goal * (first.sum() if budget is None else budget)
-    now = first
-    wanted = (goal > 0) & (first > 0)
-    for _ in range(p.rounds):
-        if not wanted.any() or (np.abs(now - goal)[wanted] / goal[wanted]).max() <= p.tolerance:
-            break
-        steps.append(np.where(first > 0, (look - goal) / scale, 0.0))
-        now, look = totals()
-    return steps
+    budget = first.sum() if budget is None else budget
+    goal = goal * budget
+    size, axes = np.linalg.eigh(np.array(gram))
+    metric = (axes / np.where(size > p.flat * max(size.max(), 1e-300), size, np.inf)) @ axes.T
+
+    def miss(now: np.ndarray) -> float:
+        return float((np.abs(now - goal) / np.where(goal > 0, goal, max(budget, 1.0)))[open_].max()) if open_.any() else 0.0
+
+    def squares(now: np.ndarray) -> float:
+        return float((off := np.where(open_, now - goal, 0.0)) @ metric @ off)
+
+    now, before = first, squares(first)
+    while miss(now) > p.tolerance and len(steps) < p.rounds:
+        if len(steps) - begun == p.replay:
+            if squares(now) > (1 - p.gain) * before:
+                break
+            state, begun, before = _written(state, steps, begun, d), len(steps), squares(now)
+        steps.append(metric @ np.where(open_, look - goal, 0.0))
+        now, look = _totals(state, steps, begun, d)
+    return Fit(steps, miss(now))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], p: Params = Params(), labelled_docs: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", budget: float | str | None = None, out: str = "mix") -> DataFrame:
-    """docs with a struct column ``out``: tokens, domains, posterior, rate and copies.
+    """docs with a struct column ``out``: tokens, domains, posterior, rate, copies and miss.
 
     labelled is (doc_id, domain). Tokens are words. copies is the rate rounded up or down by a hash of id and text, so that its mean is
-    the rate, the same at each run. Domains without a target get target 0. All columns and rows of docs are kept. The texts are read
-    twice: for the fit, which keeps tokens and posteriors in the shared folder, and for the result; nothing is joined by id.
+    the rate, the same at each run. miss is the greatest relative miss of a target, the same in every row: more than the tolerance
+    where the targets can't be met. Domains without a target get target 0. All columns and rows of docs are kept; a column named like
+    ``out`` is an error. The texts are read twice: for the fit, which keeps tokens and posteriors in the shared folder, and for
+    the result; nothing is joined by id.
     """
+    refuse(docs, out)
     model = fit_classifier(labelled_sample(docs if labelled_docs is None else labelled_docs, labelled, p, doc_id, text), p)
     bounded_batches(docs.sparkSession)
     tokens = F.size(words(F.col(text))).cast("long")
 
-    def soft(steps: list[np.ndarray]) -> Column:
+    def soft(fitted: Fit) -> Column:
         @F.pandas_udf("struct<posterior array<double>, rate double>")
         def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             for texts in batches:
                 q = np.array([model.posterior(t) for t in texts]).reshape(len(texts), -1)
-                yield pd.DataFrame({"posterior": list(q), "rate": rates(q, steps, p.spread)})
+                yield pd.DataFrame({"posterior": list(q), "rate": rates(q, fitted.steps)[0]})
 
         return of(F.col(text))
 
     if model.domains:
-        kept = cut(docs.select(tokens.alias("tokens"), soft([])["posterior"].alias("posterior")))
-        rated = soft(fit_rates(kept, [targets.get(k, 0.0) for k in model.domains], p, budget=budget))
+        kept = cut(docs.select(tokens.alias("tokens"), soft(Fit([], 0.0))["posterior"].alias("posterior")))
+        fitted = fit_rates(kept, [targets.get(k, 0.0) for k in model.domains], p, budget=budget)
+        rated = soft(fitted)
     else:
+        fitted = Fit([], 0.0)
         rated = F.struct(F.array().cast("array<double>").alias("posterior"), F.lit(1.0).alias("rate"))
     r, n = fresh(docs, "rated_", "tokens_")
     chance = F.pmod(F.xxhash64(F.lit("copies"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rate = F.col(f"{r}.rate")
     copies = (F.floor(rate) + (chance < rate - F.floor(rate)).cast("int")).cast("long")
-    return docs.withColumn(n, tokens).withColumn(r, rated).withColumn(out, F.struct(F.col(n).alias("tokens"), F.lit(model.domains).cast("array<string>").alias("domains"), F.col(f"{r}.posterior"), rate.alias("rate"), copies.alias("copies"))).drop(n, r)
+    return docs.withColumn(n, tokens).withColumn(r, rated).withColumn(out, F.struct(F.col(n).alias("tokens"), F.lit(model.domains).cast("array<string>").alias("domains"), F.col(f"{r}.posterior"), rate.alias("rate"), copies.alias("copies"), F.lit(fitted.miss).alias("miss"))).drop(n, r)
