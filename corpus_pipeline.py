@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import fresh, shared_dir, table
@@ -41,7 +41,10 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: those that share four fifths or more of their five-word shingles."""
+    """One document of each group of near duplicates stays: those that share four fifths or more of their five-word shingles.
+
+    SimHash balls link the nearest, an exact completion the rest, which no ball of bounded size reaches.
+    """
     return keep_named(docs, near_duplicates(docs)).select(docs.columns)
 
 
@@ -55,8 +58,9 @@ def balance(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its bin."""
-    return pack(docs)
+    """Every piece of every copy of every document with its bin. Copies of a document are alike; copy (0, 1 ..) tells them apart."""
+    same = Window.partitionBy("doc_id", "piece").orderBy("bin_id", "bin_offset")
+    return pack(docs).withColumn("copy", F.row_number().over(same) - 1)
 
 
 STAGES = [("quality rules", judge), ("toxicity", clean), ("near duplicates", deduplicate), ("mixing", balance), ("packing", sequences)]

@@ -38,6 +38,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """Write df as Parquet to a folder, and go on from the files.
+
+    For loops: a checkpoint keeps the planner's estimate of its size, and estimates of joins are products, so after some rounds
+    they have more digits than the planner can multiply; files have their own size.
+    """
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that ``written`` made, in whatever store it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, also where body uses it inside other lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -23,24 +23,34 @@ SEED = 42
 BITS = 64
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """SimHash of the shingles of a text, unsigned; 0 for a null or a text without words.
+def shingle_hashes(text: str | None, shingle: int = 3) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles of a text, unsigned, repeats included; none for a null or a text without words.
 
-    A-Z are lower-cased, words end at space and bytes 9 to 13, a text of fewer words is one shingle. A bit is set if it is set
-    in over half of the shingles' XXH64 (seed 42), repeats included.
+    A-Z are lower-cased, words end at space and bytes 9 to 13, a text of fewer words is one shingle.
     """
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, dtype="<u8")
     joined, k = b" ".join(tokens), min(shingle, len(tokens))
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[i:j], SEED) for i, j in zip(starts[: len(tokens) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], dtype="<u8")
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.array([digest(joined[i:j], SEED) for i, j in zip(starts[: len(tokens) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray, segment: int = 1 << 14) -> int:
+    """SimHash: a bit is set if it is set in over half of the hashes; 0 of none. Counted in segments, so that memory stays small."""
+    if not len(hashes):
+        return 0
+    ones = sum(np.unpackbits(hashes[i : i + segment].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for i in range(0, len(hashes), segment))
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """SimHash of the shingles of a text, unsigned; 0 for a null or a text without words."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3) -> DataFrame:
     """docs with the fingerprint of each whole text as a signed long."""
     bounded_batches(docs.sparkSession)

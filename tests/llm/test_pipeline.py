@@ -5,8 +5,6 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline as C
-from ledgerlens.llm import simhash as S
-
 
 @pytest.fixture(scope="module")
 def stages(spark, tmp_path_factory):
@@ -30,9 +28,11 @@ def test_columns(stages):
 
 
 def test_deduplication(stages):
+    """Groups by brute force: all pairs of sets of five-word shingles with a Jaccard similarity of 0.8 or more."""
     before, after = stages[2][1].collect(), {r["doc_id"] for r in stages[3][1].collect()}
-    fps = {r["doc_id"]: S.fingerprint(r["text"]) for r in before}
-    ids = sorted(fps)
+    words = {r["doc_id"]: (r["text"] or "").lower().split() for r in before}
+    sets = {i: frozenset(" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset() for i, w in words.items()}
+    ids = sorted(sets)
     parent = {i: i for i in ids}
 
     def find(x):
@@ -42,10 +42,10 @@ def test_deduplication(stages):
 
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
-            if (fps[a] ^ fps[b]).bit_count() <= 2:
+            if sets[a] == sets[b] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
-    assert after == {i for i in ids if find(i) == i}
+    assert after == {i for i in ids if find(i) == i} and len(after) < len(ids)
 
 
 def test_filters_keep_rows_as_they_are(stages):
@@ -56,7 +56,7 @@ def test_filters_keep_rows_as_they_are(stages):
 
 def test_mixing_keeps_every_document(stages):
     before, after = {r["doc_id"] for r in stages[3][1].collect()}, Counter(r["doc_id"] for r in stages[4][1].collect())
-    assert set(after) <= before and len(after) >= 0.98 * len(before)
+    assert set(after) == before
     tokens = Counter()
     for r in stages[4][1].collect():
         tokens[r["lang"]] += len(r["text"].split())
@@ -68,6 +68,7 @@ def test_packing_holds_every_token(stages):
     want = sum(len(r["text"].encode().split()) for r in stages[4][1].collect())
     rows = stages[5][1].collect()
     assert sum(r["piece_len"] for r in rows) == want
+    assert len({(r["doc_id"], r["copy"], r["piece"]) for r in rows}) == len(rows)
     used = Counter()
     for r in rows:
         used[r["bin_id"]] += r["piece_len"]
@@ -75,7 +76,7 @@ def test_packing_holds_every_token(stages):
 
 
 def test_run(spark, sf_dir):
-    assert C.run(spark, sf_dir).columns == ["doc_id", "piece", "start", "piece_len", "bin_id", "bin_size", "bin_used", "bin_offset"]
+    assert C.run(spark, sf_dir).columns == ["doc_id", "piece", "start", "piece_len", "bin_id", "bin_size", "bin_used", "bin_offset", "copy"]
 
 
 def test_odd(spark, odd, sf_dir):

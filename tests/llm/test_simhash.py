@@ -1,6 +1,8 @@
 import random
+import re
 
 import pytest
+import xxhash
 
 from ledgerlens.llm import components as K
 from ledgerlens.llm import simhash as S
@@ -66,3 +68,16 @@ def test_near_copies_meet(spark):
     rows = [(1, base), (2, base.upper()), (3, base + " extra"), (4, " ".join(f"other{i}" for i in range(400)))]
     got = {r["doc_id"]: r["component_id"] for r in S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
+def test_fingerprint_by_counting(spark):
+    """Every bit counted by itself over the hashes of the shingles, repeats included."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["the", "Cat", "SAT", "on", "é", "a\tmat", "x\ny"]) for _ in range(n)) for n in (1, 2, 3, 4, 7, 30, 400)]
+    for text in [*texts, None, "", " \n", "One\x0btwo\x0cthree four", "Ünïcode stays one wörd"]:
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = [w for w in re.split(r"[\x20\x09-\x0d]+", lowered) if w]
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+        assert S.fingerprint(text) == want
