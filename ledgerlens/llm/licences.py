@@ -1,11 +1,14 @@
 """License scan by sparse TF-IDF cosine, and inheritance from directories (native expressions only).
 
-Every line of a text, and the whole text of a licence file, is a vector of token counts times inverse document frequencies, compared with each
-template by cosine. A file without a license of its own inherits that of the nearest directory above it that has a licence file.
-
-Only texts with one of the key tokens are compared. The key tokens of a template are all but its lightest ones whose joint norm
-stays below ``threshold`` times the template's: by the Cauchy-Schwarz inequality a line without a key token can't reach the
-threshold. So the filter loses nothing.
+Segments of a text (the sentences of its lines, each two lines in a row, and the whole text of a licence file) are vectors of token counts
+times inverse document frequencies, over all documents and over the templates, so that names and versions decide; they are compared with each template by cosine. The templates hold every version and
+variant of a license as its own, and a segment counts only if it is nearer to one license than to any other by a margin: a license that
+isn't listed is as near to several, and stays unknown. A file without a license of its own inherits that of the nearest directory
+above it that has a licence file.
+
+Only segments with one of the key tokens are compared. The key tokens of a template are all but its lightest ones whose joint norm
+stays below ``threshold`` times the template's: by the Cauchy-Schwarz inequality a segment without a key token can't reach the
+threshold. So the filter loses nothing. Segments are small tables of words, joined to the document frequencies of all words by a shuffle.
 """
 
 from __future__ import annotations
@@ -19,25 +22,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, let
+from .licence_texts import TEMPLATES
 
-# The notices by which these licenses are declared in headers.
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0"],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted", "SPDX-License-Identifier: BSD-3-Clause"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0"],
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "SPDX-License-Identifier: MIT"],
-    "proprietary": ["All rights reserved.", "Proprietary and confidential. All rights reserved."],
-}
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)(\..*)?$"
 BREAK = r"[^\p{L}\p{N}]+"
+SENTENCE_END = r"[.;!?]+\s+"
+#: A notice that names no license; it counts only where a file declares none by name.
+RESERVED = "proprietary"
 
 
 @dataclass(frozen=True)
 class Params:
     threshold: float = 0.7
+    margin: float = 0.02  # by which the best license must be nearer than the next
     templates: dict = field(default_factory=lambda: TEMPLATES)
 
+    def listed(self) -> list[tuple[str, str]]:
+        """(license, template) in the order of names."""
+        return [(name, text) for name in sorted(self.templates) for text in self.templates[name]]
+
 
 def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BREAK), "")
@@ -47,97 +50,92 @@ def _words(text: str) -> list[str]:
     return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
-def document_frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> tuple[int, dict[str, int]]:
-    """Number of documents, and how many hold each word of the vocabulary. One pass over all texts; a row for each word comes back."""
-    found = docs.select(F.array_intersect(tokens(F.col(text)), F.lit(vocabulary)).alias("w"))
-    rows = found.select(F.explode(F.concat("w", F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
-    counts = {r["w"]: r["count"] for r in rows}
-    return counts.pop("", 0), counts
+def vocabulary(p: Params) -> list[str]:
+    return sorted({w for _, text in p.listed() for w in _words(text)})
+
+
+def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(w, df): how many documents hold each word; the row of the empty word is the number of documents. One pass over all texts."""
+    found = docs.select(F.explode(F.concat(F.array_distinct(tokens(F.col(text))), F.array(F.lit("")))).alias("w"))
+    return found.groupBy("w").agg(F.count("*").alias("df"))
 
 
 @dataclass
 class Vectors:
-    """Weighted templates: idf of each vocabulary word, that of any other word, (license, norm, weights) and the key tokens."""
+    """Weighted templates: (license, norm, weights), the key tokens, the number of documents, and what words weigh by the templates."""
 
-    idf: dict[str, float]
-    other: float
     templates: list[tuple[str, float, dict[str, float]]]
     keys: list[str]
+    n: int
+    told: dict[str, float]
+    other: float  # of a word in no template
 
 
 def weigh(n: int, df: dict[str, int], p: Params = Params()) -> Vectors:
-    vocabulary = sorted({w for ts in p.templates.values() for t in ts for w in _words(t)})
-    idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
-    out, keys = [], set()
-    for name in sorted(p.templates):
-        for text in p.templates[name]:
-            weights = {w: c * idf[w] for w, c in sorted(Counter(_words(text)).items())}
-            norm = math.sqrt(sum(x * x for x in weights.values()))
-            out.append((name, norm, weights))
-            rest = 0.0
-            for w in sorted(weights, key=lambda w: (weights[w], w)):
-                rest += weights[w] ** 2
-                if rest >= (p.threshold * norm) ** 2 * (1 - 1e-9):
-                    keys.add(w)
-    return Vectors(idf, math.log(1 + n) + 1, out, sorted(keys))
-
-
-def _counted(words: Column) -> Column:
-    """Array of (word, count), from one sort."""
-
-    def runs(s: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("w"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
-
-    return let(F.sort_array(words), runs)
-
-
-def best_license(segment_words: Column, v: Vectors) -> Column:
-    """struct(score, rank, license) of the template nearest to a segment; the first of equal ones by name; null without words."""
-    idf = F.create_map(*[x for w, i in v.idf.items() for x in (F.lit(w), F.lit(i))])
-
-    def product(weighted: Column, table: Column) -> Column:
-        return F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x["v"] * F.coalesce(F.try_element_at(table, x["w"]), F.lit(0.0)))
-
-    def scores(weighted: Column) -> Column:
-        norm = F.sqrt(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x["v"] * x["v"]))
-        out = []
-        for k, (name, size, weights) in enumerate(v.templates):
-            dot = product(weighted, F.create_map(*[x for w, y in weights.items() for x in (F.lit(w), F.lit(y))]))
-            out.append(F.struct(F.round(dot / (norm * F.lit(size)), 6).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("license")))
-        return F.array_max(F.array(*out))
-
-    weighted = F.transform(_counted(segment_words), lambda x: F.struct(x["w"].alias("w"), (x["n"] * F.coalesce(F.try_element_at(idf, x["w"]), F.lit(v.other))).alias("v")))
-    return F.when(F.size(segment_words) > 0, let(weighted, scores))
-
-
-def declared(files: DataFrame, v: Vectors, p: Params = Params(), text: str = "text", whole: Column | None = None, out: str = "declared") -> DataFrame:
-    """files with a struct column ``out`` (license, score) of the best segment at or above the threshold, else null.
-
-    whole says for which files the whole text is a segment beside its lines.
-    """
-    keys = F.lit(v.keys)
-    body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.transform(F.split(body, "\n"), lambda x: tokens(x)), lambda w: F.arrays_overlap(w, keys))
-    segments = lines if whole is None else F.concat(lines, F.when(whole, F.array(tokens(body))).otherwise(F.array().cast("array<array<string>>")))
-    best = let(F.array_max(F.transform(segments, lambda w: best_license(w, v))), lambda b: F.when(b["score"] >= p.threshold, F.struct(b["license"].alias("license"), b["score"].alias("score"))))
-    return files.withColumn(out, F.when(F.arrays_overlap(tokens(body), keys), best))
+    out, keys, t = [], set(), len(p.listed())
+    held = Counter(w for _, text in p.listed() for w in set(_words(text)))
+    told = {w: 1 + math.log(t / k) for w, k in sorted(held.items())}
+    for name, text in p.listed():
+        weights = {w: c * (math.log((1 + n) / (1 + df.get(w, 0))) + 1) * told[w] for w, c in sorted(Counter(_words(text)).items())}
+        norm = math.sqrt(sum(x * x for x in weights.values()))
+        out.append((name, norm, weights))
+        rest = 0.0
+        for w in sorted(weights, key=lambda w: (weights[w], w)):
+            rest += weights[w] ** 2
+            if rest >= (p.threshold * norm) ** 2 * (1 - 1e-9):
+                keys.add(w)
+    return Vectors(out, sorted(keys), n, told, 1 + math.log(t) / 2)
+
+
+def segments(text: Column, keys: list[str], whole: Column) -> Column:
+    """Token arrays of the segments that hold a key token: sentences of lines, two lines in a row, and the whole text where ``whole``."""
+    body, wanted = F.coalesce(text, F.lit("")), F.lit(keys)
+
+    def of(lines: Column) -> Column:
+        sentences = F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE_END)))
+        following = F.when(F.size(lines) > 1, F.zip_with(F.slice(lines, F.lit(1), F.size(lines) - 1), F.slice(lines, F.lit(2), F.size(lines) - 1), lambda a, b: F.concat_ws(" ", a, b)))
+        made = F.concat(sentences, F.coalesce(following, F.array().cast("array<string>")), F.when(whole, F.array(body)).otherwise(F.array().cast("array<string>")))
+        return F.filter(F.transform(made, lambda x: tokens(x)), lambda w: F.arrays_overlap(w, wanted))
+
+    found = let(F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")), of)
+    return F.when(F.arrays_overlap(tokens(body), wanted), found)
+
+
+def declared(candidates: DataFrame, df: DataFrame, v: Vectors, p: Params = Params()) -> DataFrame:
+    """(rid, license, score) for the rows of candidates (rid, segs) that declare a license."""
+    spark = candidates.sparkSession
+    vectors = [(w, told, [weights.get(w, 0.0) for _, _, weights in v.templates]) for w, told in v.told.items()]
+    table = F.broadcast(spark.createDataFrame(vectors, "tw string, told double, tv array<double>"))  # bounded by the templates
+    words = candidates.select("rid", F.posexplode("segs").alias("seg", "ws")).select("rid", "seg", F.explode("ws").alias("w"))
+    counted = words.groupBy("rid", "seg", "w").agg(F.count("*").alias("k")).join(df, "w", "left").join(table, F.col("w") == F.col("tw"), "left")
+    weighted = counted.withColumn("v", F.col("k") * (F.log((1 + F.lit(v.n)) / (1 + F.coalesce("df", F.lit(0)))) + 1) * F.coalesce("told", F.lit(v.other)))
+    dots = [F.coalesce(F.sum(F.col("v") * F.get("tv", F.lit(k))), F.lit(0.0)).alias(f"d{k}") for k in range(len(v.templates))]
+    summed = weighted.groupBy("rid", "seg").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), *dots)
+    scores = F.array(*[F.struct(F.round(F.col(f"d{k}") / (F.col("norm") * F.lit(norm)), 6).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("license")) for k, (name, norm, _) in enumerate(v.templates)])
+    best = summed.select("rid", scores.alias("scores")).withColumn("best", F.array_max("scores")).where(F.col("best.score") >= p.threshold)
+    rival = F.array_max(F.transform(F.filter("scores", lambda x: x["license"] != F.col("best.license")), lambda x: x["score"]))
+    clear = best.where(F.col("best.score") >= F.round(F.coalesce(rival, F.lit(0.0)) + p.margin, 6)).select("rid", F.struct((F.col("best.license") != RESERVED).alias("named"), "best").alias("b"))
+    return clear.groupBy("rid").agg(F.max("b").alias("b")).select("rid", F.col("b.best.license").alias("license"), F.col("b.best.score").alias("score"))
 
 
 def scan(files: DataFrame, p: Params = Params(), file_id: str = "doc_id", path: str = "path", text: str = "text") -> DataFrame:
     """(file_id, path, declared, score, inherited, inherited_from, license) for every row of files.
 
-    declared is the file's own license, inherited that of the nearest directory (its own first) with a licence file that declares one; of
+    declared is the file's own license, that of the best segment; a notice that reserves all rights counts only where nothing else is
+    declared. inherited is that of the nearest directory (its own first) with a licence file that declares one; of
     several in a directory the one of the best score counts, then the first by name. license is the declared, else the inherited
     one. A null path is in no directory; null and empty texts declare nothing; repeated rows are all returned; an
     empty table gives an empty result. Other columns are not read.
     """
     rows = files.select(F.col(file_id).alias("file_id"), F.col(path).alias("path"), F.col(text).alias("text"))
-    vocabulary = sorted({w for ts in p.templates.values() for t in ts for w in _words(t)})
-    v = weigh(*document_frequencies(rows, vocabulary), p)
-    name = F.substring_index("path", "/", -1)
-    of = rows.withColumn("is_file", F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))).withColumn("dir", F.regexp_replace("path", r"/?[^/]*$", ""))
-    found = cut(declared(of, v, p, "text", F.col("is_file")).select("file_id", "path", "is_file", "dir", "declared.license", "declared.score"))
+    df = cut(document_frequencies(rows))
+    known = {r["w"]: r["df"] for r in df.where(F.col("w").isin([*vocabulary(p), ""])).collect()}
+    v = weigh(known.pop("", 0), known, p)
+    is_file = F.coalesce(F.substring_index("path", "/", -1).rlike(LICENCE_FILE), F.lit(False))
+    narrow = rows.select("file_id", "path", is_file.alias("is_file"), F.regexp_replace("path", r"/?[^/]*$", "").alias("dir"), segments(F.col("text"), v.keys, is_file).alias("segs"), F.monotonically_increasing_id().alias("rid"))
+    narrow = cut(narrow)  # from here on a row keeps its number
+    own = declared(narrow.where(F.size("segs") > 0), df.where("w <> ''"), v, p)
+    found = cut(narrow.drop("segs").join(own, "rid", "left").drop("rid"))
     best = F.struct((-F.col("score")).alias("s"), "license")
     owners = found.where("is_file and license is not null and dir is not null").groupBy("dir").agg(F.min(best).alias("b")).select(F.col("dir").alias("owner"), F.col("b.license").alias("inherited"))
     parts = F.split("dir", "/")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from .licences import TEMPLATES
 from .licences import Params as LicenceParams
 from .quality_rules import BINS, COMMON_WORDS, Rules
 from .spotsigs import ANCHORS, CHAIN
@@ -93,8 +92,7 @@ FROM marked GROUP BY conv_id"""
 
 
 def _licence_sql(p: LicenceParams = LicenceParams()) -> str:
-    rows = [(name, text) for name in sorted(TEMPLATES) for text in TEMPLATES[name]]
-    listed = ", ".join(f"({k}, {name!r}, {text!r})" for k, (name, text) in enumerate(rows))
+    listed = ", ".join(f"({k}, '{name}', $${text}$$)" for k, (name, text) in enumerate(p.listed()))
     cut = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
     return rf"""
 WITH files AS (
@@ -107,23 +105,33 @@ WITH files AS (
 templates(k, license, t) AS (VALUES {listed}),
 tpl AS (SELECT k, license, w, count(*) AS n FROM (SELECT k, license, unnest({cut.format("t")}) AS w FROM templates) GROUP BY ALL),
 words AS (SELECT DISTINCT r, unnest({cut.format("body")}) AS w FROM files),
-df AS (SELECT w, count(*) AS df FROM words WHERE w IN (SELECT w FROM tpl) GROUP BY w),
+df AS (SELECT w, count(*) AS df FROM words GROUP BY w),
 total AS (SELECT count(*) AS n FROM files),
-idf AS (SELECT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tpl) LEFT JOIN df USING (w), total),
-tv AS (SELECT k, license, w, n * idf AS v FROM tpl JOIN idf USING (w)),
+told AS (SELECT w, 1 + ln((SELECT count(*) FROM templates) / count(*)) AS told FROM tpl GROUP BY w),
+tv AS (SELECT k, license, tpl.w, tpl.n * (ln((1 + total.n) / (1 + coalesce(df, 0))) + 1) * told AS v FROM tpl JOIN told USING (w) LEFT JOIN df USING (w), total),
 tnorm AS (SELECT k, sqrt(sum(v * v)) AS norm FROM tv GROUP BY k),
+hit AS (SELECT DISTINCT r FROM words WHERE w IN (SELECT w FROM tpl)),
+lines AS (
+  SELECT r, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[\p{{L}}\p{{N}}]')) AS ls FROM files JOIN hit USING (r)),
 segs AS (
-  SELECT r, i, {cut.format("line")} AS ws
-  FROM (SELECT r, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS i FROM files)
-  UNION ALL SELECT r, 0, {cut.format("body")} FROM files WHERE is_file),
+  SELECT r, row_number() OVER () AS i, {cut.format("t")} AS ws FROM (
+    SELECT r, unnest(regexp_split_to_array(l, '[.;!?]+\s+')) AS t FROM (SELECT r, unnest(ls) AS l FROM lines)
+    UNION ALL SELECT r, ls[j] || ' ' || ls[j + 1] FROM (SELECT r, ls, unnest(range(1, len(ls))) AS j FROM lines)
+    UNION ALL SELECT r, body FROM files WHERE is_file)),
 sw AS (SELECT r, i, w, count(*) AS n FROM (SELECT r, i, unnest(ws) AS w FROM segs) GROUP BY ALL),
-sv AS (SELECT r, i, w, s.n * coalesce(idf, ln(1 + t.n) + 1) AS v FROM sw s LEFT JOIN idf USING (w), total t),
+sv AS (
+  SELECT r, i, w, s.n * (ln((1 + t.n) / (1 + coalesce(df, 0))) + 1) * coalesce(told, 1 + ln((SELECT count(*) FROM templates)) / 2) AS v
+  FROM sw s LEFT JOIN df USING (w) LEFT JOIN told USING (w), total t),
 snorm AS (SELECT r, i, sqrt(sum(v * v)) AS norm FROM sv GROUP BY ALL),
 dots AS (SELECT r, i, k, license, sum(sv.v * tv.v) AS d FROM sv JOIN tv USING (w) GROUP BY ALL),
-scored AS (SELECT r, k, license, round(d / (s.norm * t.norm), 6) AS score FROM dots JOIN snorm s USING (r, i) JOIN tnorm t USING (k)),
+scored AS (SELECT r, i, k, license, round(d / (s.norm * t.norm), 6) AS score FROM dots JOIN snorm s USING (r, i) JOIN tnorm t USING (k)),
+nearest AS (SELECT r, i, k, license, score FROM scored WHERE score >= {p.threshold} QUALIFY row_number() OVER (PARTITION BY r, i ORDER BY score DESC, k) = 1),
+clear AS (
+  SELECT n.r, n.i, n.k, n.license, n.score FROM nearest n LEFT JOIN scored o ON o.r = n.r AND o.i = n.i AND o.license <> n.license
+  GROUP BY ALL HAVING n.score >= round(coalesce(max(o.score), 0) + {p.margin}, 6)),
 own AS (
-  SELECT r, license, score FROM scored WHERE score >= {p.threshold}
-  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, k) = 1),
+  SELECT r, license, score FROM clear
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY license <> 'proprietary' DESC, score DESC, k) = 1),
 found AS (
   SELECT r, doc_id, path, is_file, regexp_replace(path, '/?[^/]*$', '') AS dir, license, score FROM files LEFT JOIN own USING (r)),
 owners AS (
