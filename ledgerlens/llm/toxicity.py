@@ -3,13 +3,14 @@
 The lexicon is learned from labelled texts: words, and stems that stand for every word starting with them, which occur in many
 toxic texts and hardly in clean ones. The trie of the lexicon is walked with the edit-distance states of a word, so a
 misspelled term is found without listing its spellings; spellings that clean texts use are exceptions. Each hit weighs less
-in a quotation (inside quotation marks, or near reporting words) and more near an address (``you`` and the like). A logistic
+in a quotation (inside quotation marks, which pair up within a line, or near reporting words) and more near an address (``you`` and the like). A logistic
 model of the summed weights gives the score.
 
 Defined results: null and empty texts have no hits and get the score of such texts; texts are read whole; without any labelled
-toxic text every score is 0.
+toxic text every score is 0. The lexicon has as many terms as the sample supports.
 """
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -40,7 +41,6 @@ class Params:
     clean_cost: float = 3.0
     frequent_share: float = 0.03
     stem_lengths: tuple[int, ...] = (4, 5, 6, 7, 8, 9)
-    max_terms: int = 500
     fuzzy_length: int = 5  # terms of so many letters may have one edit
     window: int = 5
     quoted_weight: float = 0.3
@@ -114,6 +114,8 @@ class Model:
         return Matcher(self)
 
     def score(self, sums: tuple[float, float]) -> float:
+        if not self.terms:
+            return 0.0
         z = self.weights[0] + sum(w * math.log1p(x) for w, x in zip(self.weights[1:], sums, strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
@@ -129,8 +131,9 @@ class Matcher:
         self.hits: dict[str, int] = {}
 
     def known(self, words: set[str]) -> dict[str, int]:
-        if len(self.clean) > self.MEMORY:
+        if len(self.clean) + len(self.hits) > self.MEMORY:
             self.clean.clear()
+            self.hits.clear()
         for w in words - self.clean - self.hits.keys():
             found = self.trie.match(w)
             if found is None or found[1] and w in self.model.exceptions:
@@ -153,8 +156,12 @@ class Matcher:
             if edits is None:
                 continue
             near = words[max(0, k - p.window) : k + p.window + 1]
-            before = int(np.searchsorted(marks, m.start())) if marks else 0
-            inside = before % 2 == 1 and before < len(marks) and marks[before] - marks[before - 1] < 400
+            inside = False
+            if marks:
+                # Marks are counted from the start of the line, and the one that closes must be in it too.
+                at = bisect.bisect_left(marks, m.start())
+                before = at - bisect.bisect_left(marks, low.rfind("\n", 0, m.start()) + 1)
+                inside = before % 2 == 1 and at < len(marks) and "\n" not in low[m.start() : marks[at]]
             weight = 1.0
             if inside or not REPORTING.isdisjoint(near):
                 weight = p.quoted_weight
@@ -203,27 +210,28 @@ def learn_terms(rows: list[tuple[set[str], str, int]], p: Params) -> list[tuple[
         return -n * math.log(max(share, 1e-9)) - (math.lgamma(n + c + 1) - math.lgamma(n + 1) - math.lgamma(c + 1))
 
     pure = {t: n for t, n in support.items() if clean[t] * rate <= p.max_clean_share * n and strength(n, clean[t]) >= least}
-    where: dict[tuple[str, bool], set[int]] = {t: set() for t in pure}
-    for i, words in enumerate(toxic):
-        for t in of(words) & pure.keys():
-            where[t].add(i)
-    chosen: list[tuple[str, bool]] = []
+    # How many texts not yet covered hold each term, kept up to date as texts get covered.
+    held = [sorted(of(words) & pure.keys()) for words in toxic]
+    open_: Counter = Counter(t for ts in held for t in ts)
     left = set(range(len(toxic)))
+    chosen: list[tuple[str, bool]] = []
     order = sorted(pure, key=lambda t: (-pure[t], t[1], -len(t[0]), t))
-    while left and len(chosen) < p.max_terms:
+    while left:
         # A clean text that a term would hit counts against it.
-        gains = [(len(where[t] & left) - p.clean_cost * rate * clean[t], t) for t in order[:4000]]
+        gains = [(open_[t] - p.clean_cost * rate * clean[t], t) for t in order]
         gain = max((g for g, _ in gains), default=0.0)
         if gain < p.min_texts:
             break
         best = [t for g, t in gains if g >= 0.98 * gain]
         pick = min(best, key=lambda t: (t[1], -len(t[0]), -pure[t], t))
         chosen.append(pick)
-        left -= where[pick]
+        for i in [i for i in left if pick in held[i]]:
+            left.discard(i)
+            open_.subtract(held[i])
     limit = p.frequent_share * max((pure[t] for t in chosen), default=0)
     stems = [t[0] for t in chosen if t[1]]
     for t in order:
-        if len(chosen) < p.max_terms and pure[t] >= max(limit, p.min_texts) and t not in chosen and not any(t[0].startswith(s) for s in stems):
+        if pure[t] >= max(limit, p.min_texts) and t not in chosen and not any(t[0].startswith(s) for s in stems):
             if not (t[1] and any(w.startswith(t[0]) for w, stem in chosen if not stem)):
                 chosen.append(t)
                 stems += [t[0]] if t[1] else []

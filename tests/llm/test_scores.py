@@ -41,6 +41,19 @@ def test_context():
     plain, quoted, said, at_you = (m.sums(t)[0] for t in ("some idiot here", 'the word "idiot" here', "he said idiot then", "you idiot"))
     assert quoted < plain and said < plain < at_you
     assert m.sums(None) == m.sums("") == (0.0, 0.0)
+    # A quotation of any length counts; a mark left open in one line doesn't reach into the next.
+    assert m.sums(f'"{"so " * 400}idiot {"so " * 400}"')[0] == m.sums('"oh idiot"')[0] < plain
+    assert m.sums('a lone " mark\nsome idiot here\nand " more')[0] == plain
+    assert T.Model([], frozenset(), [-30.0, 0.0, 0.0]).score((0.0, 0.0)) == 0.0
+
+
+def test_learned_terms():
+    """Words of toxic texts only are learned, by the least set that covers them first; those of clean texts are not."""
+    words = [f"plain{i}" for i in range(30)]
+    rows = [({"shared", words[i % 30], "vile" if i % 2 else "nasty"}, "", 1) for i in range(60)] + [({"shared", words[i % 30], words[(i * 7) % 30]}, "", 0) for i in range(300)]
+    terms = T.learn_terms(rows, T.Params())
+    assert {"vile", "nasty"} <= {t[0] for t in terms if not t[1]} | {w for w in ("vile", "nasty") for t in terms if t[1] and w.startswith(t[0])}
+    assert not any(w.startswith(t[0]) if t[1] else w == t[0] for w in ["shared", *words] for t in terms)
 
 
 @pytest.fixture(scope="module")
