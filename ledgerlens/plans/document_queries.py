@@ -164,16 +164,26 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     return K.check_tallies(_checks(spark, sf))
 
 
+def _tables(rows: DataFrame) -> DataFrame:
+    """One extracted table a page; those of each eleventh document lack a column."""
+    return rows.groupBy("doc_id", "page").agg(F.count("*").alias("n")).select("doc_id", F.when(F.col("doc_id") % 11 == 0, 6).otherwise(7).alias("n_columns"))
+
+
+def _decisions(rows: DataFrame, checks: DataFrame, summary: DataFrame) -> DataFrame:
+    return K.parser_decisions(rows, checks, summary, _tables(rows), 7, required=["company", "date", "round"])
+
+
 def parser_decisions(spark: SparkSession, sf: str) -> DataFrame:
     rows = _classified(spark, sf)
-    return K.parser_decisions(rows, K.reconcile(rows, L.company_summary(rows))).groupBy("decision").agg(F.count("*").alias("documents"), S.count_if(F.col("row_structure") == "PASS").alias("structured"), S.count_if(F.col("reconciliation") == "PASS").alias("reconciled"))
+    summary = L.company_summary(rows)
+    return K.decision_tallies(_decisions(rows, K.reconcile(rows, summary), summary))
 
 
 def validation_issues(spark: SparkSession, sf: str) -> DataFrame:
     rows = _classified(spark, sf)
     summary = L.company_summary(rows)
     checks = K.reconcile(rows, summary)
-    return K.validation_issues(K.parser_decisions(rows, checks), checks, summary).groupBy("kind").agg(F.count("*").alias("issues"))
+    return K.validation_issues(_decisions(rows, checks, summary), checks, summary).groupBy("kind").agg(F.count("*").alias("issues"))
 
 
 def parse_rates(spark: SparkSession, sf: str) -> DataFrame:
@@ -397,6 +407,18 @@ gg as (select g.*, {', '.join(f'coalesce({x}_sum, 0) as {x}_sum' for x in L.AMOU
 ch as (select doc_id, 'lot_gain' as check_id, case when coalesce(abs(fair_value - cost - gain) <= 1, false) then 'PASS' else 'FAIL' end as status from l
   {' '.join(f"union all select doc_id, 'company_{x}', {x}_status from z union all select doc_id, 'grand_{x}', case when coalesce(abs({x}_sum - {x}) <= 1, false) then 'PASS' else 'FAIL' end from gg" for x in L.AMOUNTS)}
   union all select doc_id, 'grand_gain_identity', case when coalesce(abs(fair_value - cost - gain) <= 1, false) then 'PASS' else 'FAIL' end from g),"""
+_DECISIONS = f"""{_CHECKS}
+hd as (select doc_id, count(*) filter (row_type = 'repeated_header') as n_headers,
+    coalesce(string_agg(lower(concat_ws(' ', company, date, round, shares, cost, fair_value, gain)), ' ') filter (row_type = 'repeated_header'), '') as headers,
+    count(*) filter (row_type = 'investment_lot') as n_lots, count(*) filter (row_type = 'grand_total') as n_totals from c group by 1),
+lr as (select doc_id, {' and '.join(f'avg(({x} is not null)::int) >= 0.95' for x in L.AMOUNTS)} as parsed from l group by 1),
+zr as (select doc_id, bool_and(cost_reported is not null) as printed from z group by 1),
+cr as (select doc_id, count(*) filter (status = 'FAIL') as n_failed from ch group by 1),
+dt as (select doc_id, n_headers > 0 and headers like '%company%' and headers like '%date%' and headers like '%round%' as header_coverage, coalesce(parsed, false) as key_field_parse_rate,
+    n_lots > 0 and n_totals > 0 as row_structure, coalesce(n_failed, 0) = 0 as reconciliation, coalesce(printed, true) as subtotal_and_continuation, doc_id % 11 <> 0 as column_count
+  from hd left join lr using (doc_id) left join zr using (doc_id) left join cr using (doc_id)),
+dd as (select *, header_coverage and key_field_parse_rate and row_structure and reconciliation and subtotal_and_continuation and column_count as decision from dt),"""
+_DECIDED = ["header_coverage", "key_field_parse_rate", "row_structure", "reconciliation", "subtotal_and_continuation", "column_count", "decision"]
 _cut = lambda s: s.rstrip().rstrip(",")
 _status_of = lambda x: f"case when trim({x}) = '' then 'blank' when regexp_replace({x}, '[\\s]', '', 'g') in ('-', '$-', '—', '–') then 'dash' when ({_num(x)}) is null then 'parse_error' when ({_num(x)}) = 0 then 'zero' else 'ok' end"
 _norm_of = lambda x, dash: f"case when {_status_of(x)} = 'dash' then {dash} when {_status_of(x)} in ('ok', 'zero') then regexp_replace(printf('%.6f', {_num(x)}), '\\.?0+$', '') end"
@@ -440,6 +462,8 @@ SQL: dict[str, str] = {
     "schedule_row_types": f"with {_cut(_STATES)} select row_type, count(*) as rows from c group by 1",
     "active_company_fill": f"with {_cut(_STATES)} select doc_id, row_index, row_type, company_name, row_type = 'investment_lot' and company = '' as inherited, case when kind = 'lot' and active is null then 'lot_without_active_company' end as issue from c",
     "lots": f"with {_cut(_STATES)} select doc_id, row_index, company_name, " + ", ".join(f"{_norm_of(x, 'null' if x == 'shares' else chr(39) + '0' + chr(39))} as {x}_normalized, {_status_of(x)} as {x}_status" for x in ["shares", *L.AMOUNTS]) + " from c where row_type = 'investment_lot'",
+    "parser_decisions": f"with {_cut(_DECISIONS)} select \"check\", case when ok then 'PASS' else 'FAIL' end as status, count(*) as documents from (" + " union all ".join(f"select '{x}' as \"check\", {x} as ok from dd" for x in _DECIDED) + ") group by 1, 2",
+    "validation_issues": f"with {_cut(_DECISIONS)} select kind, count(*) as issues from (select 'parser_decision' as kind from dd where not decision union all select 'reconciliation' from ch where status = 'FAIL' union all select 'subtotal_mismatch' from z where {' or '.join(f"{x}_status = 'FAIL'" for x in L.AMOUNTS)}) group by 1",
     "company_summary": f"with {_cut(_SUMMARY)} select * from z",
     "reconciliation": f"with {_cut(_CHECKS)} select check_id, count(*) as checks, count(*) filter (status = 'PASS') as passed, count(*) filter (status = 'FAIL') as failed from ch group by 1",
     "parse_rates": f"with {_cut(_STATES)} " + " union all ".join(f"select '{x}' as field, round(avg(({_status_of(x)} in ('ok', 'zero', 'dash'))::int), 6) as parse_rate from c where row_type = 'investment_lot'" for x in ["shares", *L.AMOUNTS]),
@@ -482,7 +506,7 @@ SQL |= {
     "audited_positions": _values("doc_id, company_name, cost, fair_value", [("d1", "Alpha Systems", 3000.0, 4000.0), ("d1", "Beta Cyber", 300.0, 500.0)]),
     "header_layout": _values("doc_id, page, columns, separators", [("d1", 1, "entity_name,investment_date,cost,fair_value", "16.5,29.0,41.5")]),
     "eligible_scored": f"with {panel_sql()}, {_FUND_STATS}, x as (select h.fund_id, round(sum((capital_invested is not null)::int + (current_cost is not null)::int + (unrealized_value is not null)::int + (realized_proceeds is not null)::int + (deal_status is not null)::int + (sector is not null)::int + (geographic_focus is not null)::int) / (count(*) * 7), 6) as completeness from h join fw using (fund_id) where as_at_date = date '1998-12-31' and not coalesce(regexp_matches(source_asset, '{N.PREFIX_ONLY}'), false) and fw.k >= 1 and fw.n between {PARAMS.least} and {PARAMS.most} group by 1) select *, dense_rank() over (order by completeness desc) as tier from x",
-    "entity_mappings": f"with v as (select {_match.format('p_name')} as form, max_by(p_name, p_partkey) as vendor_name from part where p_partkey % 2 = 0 group by 1), o as (select {FORMS} as name, p_partkey as position from part where p_partkey % 3 = 0 and p_partkey < 400), r as (select {FORMS} as name, p_partkey as position from part where p_partkey % 5 = 0 and p_partkey < 700), mine as (select name, form, vendor_name from (select *, {_match.format('name')} as form from o) join v using (form) qualify row_number() over (partition by vendor_name order by position) = 1), sold as (select {_match.format('name')} as form, max_by(name, position) as realized_name from r group by 1) select name, realized_name, vendor_name, 'confirmed' as mapping_status from mine left join sold using (form) union all select null, name, vendor_name, 'confirmed_realized_only' from (select *, {_match.format('name')} as form from r) join v using (form) where vendor_name not in (select vendor_name from mine) qualify row_number() over (partition by vendor_name order by position) = 1",
+    "entity_mappings": f"with v as (select {_match.format('p_name')} as form, max_by(p_name, p_partkey) as vendor_name from part group by 1), o as (select {FORMS} as name, p_partkey as position from part), r as (select p_name || ' Inc.' as name, p_partkey as position from part), mine as (select name, form, vendor_name from (select *, {_match.format('name')} as form from o) join v using (form) qualify row_number() over (partition by vendor_name order by position) = 1), sold as (select {_match.format('name')} as form, max_by(name, position) as realized_name from r group by 1) select name, realized_name, vendor_name, 'confirmed' as mapping_status from mine left join sold using (form) union all select null, name, vendor_name, 'confirmed_realized_only' from (select *, {_match.format('name')} as form from r) join v using (form) where vendor_name not in (select vendor_name from mine) qualify row_number() over (partition by vendor_name order by position) = 1",
     "statement_metadata": "select field, parse_status, sum(n)::bigint as documents from (select 'as_of_date' as field, 'not_disclosed' as parse_status, count(*) as n from documents union all select 'audit_status', 'not_disclosed', count(*) from documents union all select 'currency_symbol', 'not_disclosed', count(*) from documents union all select 'currency', 'not_disclosed', count(*) from documents union all select 'unit', 'not_disclosed', count(*) from documents) group by 1, 2",
     "phrase_bbox": "with w as (select doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda x: x <> '') as ws from documents), j as (select *, lower(array_to_string(ws, ' ')) as t from w), p as (select *, instr(t, 'of the') - 1 as p from j where instr(t, 'of the') > 0), u as (select doc_id, p, i - 1 as word_no, ws[i] as text, length(array_to_string(ws[1:i - 1], ' ')) + case when i > 1 then 1 else 0 end as start from (select *, unnest(range(1, len(ws) + 1)) as i from p)) select doc_id, 1 as page, min(word_no * 10.0)::double as x0, 0.0::double as top, max(word_no * 10.0 + 8)::double as x1, 5.0::double as bottom from u where start < p + 6 and start + length(text) > p group by 1",
 }

@@ -41,12 +41,47 @@ def test_summary_and_checks(spark):
     status = {(r["check_id"], r["entity"]): r["status"] for r in checks.collect()}
     assert status["grand_cost", "total"] == status["statement_gain", "total"] == status["golden_cost", "total"] == status["grand_gain_identity", "total"] == "PASS"
     assert status["company_fair_value", "Beta"] == "FAIL"
-    decisions = K.parser_decisions(rows, checks)
-    assert decisions.first()["decision"] == "FAIL" and decisions.first()["subtotals"] == "PASS"
+    decisions = K.parser_decisions(rows, checks, summary)
+    found = decisions.first().asDict()
+    assert {k for k, v in found.items() if v == "PASS"} == {"header_coverage", "key_field_parse_rate", "row_structure", "subtotal_and_continuation"}
     kinds = {r["kind"] for r in K.validation_issues(decisions, checks, summary).collect()}
     assert kinds == {"parser_decision", "reconciliation", "subtotal_mismatch"}
 
 
+def test_decisions(spark):
+    """What a document lacks fails it: header rows, a grand total, a column, an expected continuation, a subtotal."""
+    good = [r for r in ROWS if r[2:4] != (1, 4)]
+    fixed = [(*r[:8], "1,000", "(40)", "(1,040)") if r[4] == "Beta" else r for r in good]
+
+    def decided(rows, **more):
+        c = L.classify_rows(spark.createDataFrame(rows, ROW))
+        summary = L.company_summary(c)
+        return K.parser_decisions(c, K.reconcile(c, summary), summary, **more).first().asDict()
+
+    told = spark.createDataFrame([("d", "Beta", 3, 4)], "doc_id string, company_name string, starts_on_page int, subtotal_on_page int")
+    tables = lambda *n: spark.createDataFrame([("d", k) for k in n], "doc_id string, n_columns int")
+    passed = decided(fixed, continuations=told, tables=tables(7, 7), expected_columns=7)
+    assert set(passed.values()) == {"d", "investments", "PASS"}
+    fails = lambda rows, **more: {k for k, v in decided(rows, **more).items() if v == "FAIL"} - {"decision"}
+    assert fails(fixed[1:]) == {"header_coverage"}
+    assert fails([r for r in fixed if "$" not in r[8]]) == {"row_structure"}
+    assert fails(fixed, tables=tables(7, 6), expected_columns=7) == fails(fixed, tables=tables(), expected_columns=7) == {"column_count"}
+    wrong = spark.createDataFrame([("d", "Acme", 3, 4)], told.schema)
+    assert fails(fixed, continuations=wrong) == {"subtotal_and_continuation"}
+    assert "subtotal_and_continuation" in fails([r for r in fixed if r[3] != 3])
+
+
+def test_realized_decisions(spark):
+    cells = "company string, purchase_date string, exit_date string, transaction string, cost string, proceeds string, escrow string, gain string"
+    rows = [("d", 1, "Company", "Date", "Exit Date", "Transaction", "Cost", "Cash Proceeds", "Receivable", "Gain/(Loss)"), ("d", 2, "Acme", "1/1/2020", "1/1/2021", "sale", "10", "15", "-", "5"), ("d", 3, "Total", "", "", "", "10", "15", "", "5"), ("e", 1, "Acme", "1/1/2020", "1/1/2021", "sale", "10", "x", "-", "5")]
+    c = L.classify_realized(spark.createDataFrame(rows, f"doc_id string, row_index int, {cells}"))
+    totals = c.where("row_type = 'total'").selectExpr("doc_id", *[f"cast({x} as int) as {x}" for x in ("cost", "proceeds", "gain")])
+    checks = K.reconcile_realized(L.realized_rollup(c), totals)
+    got = {r["doc_id"]: r.asDict() for r in K.realized_decisions(c, checks).collect()}
+    assert set(got["d"].values()) == {"d", "realized", "PASS"}
+    assert {k for k, v in got["e"].items() if v == "FAIL"} == {"header_coverage", "key_field_parse_rate", "row_structure", "decision"}
+
+
 def test_empty_documents(spark):
     rows = L.classify_rows(spark.createDataFrame([], ROW))
     assert K.reconcile(rows, L.company_summary(rows)).count() == 0
