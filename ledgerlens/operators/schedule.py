@@ -86,10 +86,17 @@ def company_summary(classified: DataFrame, tolerance: float = 1.0) -> DataFrame:
 
     PASS needs both sides within the tolerance; a missing side fails.
     """
-    summed = lots(classified).groupBy("doc_id", "company_name").agg(F.count("*").alias("lot_count"), F.array_join(F.transform(F.array_sort(F.collect_set("page")), lambda p: p.cast("string")), ",").alias("pages"), *[F.sum(usable(F.col(f"n_{c}"))).alias(f"{c}_calculated") for c in AMOUNTS])
-    events = classified.where("row_type in ('company_subtotal', 'page_continuation') and company_name is not null")
-    printed = events.groupBy("doc_id", "company_name").agg(*[F.max_by(F.struct(usable(parse_number(F.col(c))).alias("v")), F.struct(*ORDER)).alias(f"{c}_event") for c in AMOUNTS])
-    out = summed.join(printed, ["doc_id", "company_name"], "left")
+    lot, event = F.col("row_type") == "investment_lot", F.col("row_type").isin("company_subtotal", "page_continuation")
+    pages = F.array_sort(F.collect_set(F.when(lot, F.col("page"))))
+    value = lambda c: usable(F.col(f"n_{c}"))
+    rows = classified.where(lot | event).where("company_name is not null").withColumns({f"n_{c}": parse_number(F.col(c)) for c in AMOUNTS})
+    out = rows.groupBy("doc_id", "company_name").agg(
+        F.count(F.when(lot, 1)).alias("lot_count"),
+        F.array_join(F.transform(pages, lambda p: p.cast("string")), ",").alias("pages"),
+        *[F.sum(F.when(lot, value(c))).alias(f"{c}_calculated") for c in AMOUNTS],
+        *[F.max_by(F.struct(value(c).alias("v")), F.when(event, F.struct(*ORDER))).alias(f"{c}_event") for c in AMOUNTS],
+    )
+    out = out.where("lot_count > 0")
     for c in AMOUNTS:
         out = out.withColumn(f"{c}_reported", F.col(f"{c}_event.v")).withColumn(f"{c}_difference", F.col(f"{c}_calculated") - F.col(f"{c}_reported"))
         out = out.withColumn(f"{c}_status", F.when(truthy(F.abs(F.col(f"{c}_difference")) <= tolerance), "PASS").otherwise("FAIL"))
