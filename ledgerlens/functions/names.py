@@ -47,8 +47,9 @@ PATTERNS = {
         r"(?i)^\s*secondary\s+market\s+investments?\s*$",
     ],
 }
-# Each pattern above needs one of these, so that most names are decided by one search.
+# Each pattern above needs one of these, so that most names are decided by one search.
 TRIGGERS = r"(?i)non[- ]?inv|total|gain|accrual|tax|foreign|cash|escrow|receivable|loan|other|seed|diversified|residential|commercial|fund|passive|recycled|secondary"
+# Names to review, the prefix that an earlier rule went by, the form of identifiers, and words that names are compared without.
 REVIEW = r"(?i)^\s*(?:edge|hero|thales|greylock\s+scout)\s+investments?\s*$"
 PREFIX_ONLY = r"(?i)^(?:Net\s+)?Non[- ]?Investments?a?\s+(?:Assets|Liabilities)"
 ID_SHAPE = r"^[0-9A-Za-z]{6,8}$"
