@@ -278,7 +278,8 @@ def sample_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def route_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return D.route(_page_lines(spark, sf)).select("doc_id", "document_class", "template_family", "extraction_mode", "schedule_pages", "confidence")
+    words = _header_words(_t(spark, sf, "documents").where("doc_id % 12 = 4").selectExpr("doc_id", "'Company Cost Value' as text"))
+    return D.route(_page_lines(spark, sf), words=words).select("doc_id", "document_class", "template_family", "extraction_mode", "schedule_pages", "confidence")
 
 
 def statement_metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,13 +297,27 @@ def _statement(spark: SparkSession, rows: list[str]) -> DataFrame:
 
 
 CONDENSED = ["Condensed Schedule of Investments", "United States", "Common stocks", "Software", "Alpha Systems 1,000 250,000 300,500 4.5 %", "Other 10 5,000 6,000 0.1", "Health Care $ 900,000 $ 1,100,000 12.5%", "Semiconductors $ 40,000 $ 41,000 1.5 %", "Total investments $ 1,000 $ 2,000 3"]
-INFERRED = ["Beta Robotics", "$ 1,000 $ 1,500", "Gamma Health 2,000 2,500", "Delta 700", "Total 9,999"]
-AGGREGATE = ["Statement of financial condition", "as of March 31, 2026", "Investments, at fair value (cost: $ 1,200,000) $ 1,500,000"]
-HEADER = "Company Name Date Round # Shares Cost/Share FMV/Share Cost Fair Value"
+#: Two amounts of an order, and statements that print them, with the same expressions in both engines. A tilde is a page break.
+_a, _b = "(10000 + o_custkey)", "(2000000 + o_orderkey)"
+_text = "concat({0})".format
+INFERRED = f"case o_orderkey % 3 when 0 then {_text(f"'Beta Robotics\\nSeries A Preferred 1.25 ', {_a}, '\\nCommon stock ', {_b}, '\\nTotal 9,999'")} when 1 then {_text(f"'Beta Robotics\\nSeries A ', {_b}, '\\n\\n$ ', {_a}, ' ', {_b}")} else {_text(f"'Schedule of Investments\\nSeries A Preferred ', {_a}, '\\n12\\n', {_b}")} end || '\\nGamma Health 2,000 (2,500)\\nDelta 700'"
+AUDITED = f"{_text(f"'Alpha Systems** Software USA\\nSeries A 10 ', {_a}, ' $ ', {_b}, '\\nBeta Software Capital preferred units'")} || case when o_orderkey % 2 = 0 then {_text(f"'\\n$', {_a} + 1, ' $', {_b} + 1, ' (9)'")} else '' end || {_text(f"'~Net unrealized gain\\n', {_a}, ' ', {_b}, ' 5\\nGamma Labs Healthcare Israel *\\nOrdinary shares 5 1 ', {_b}")}"
+AGGREGATE = f"'Statement of financial condition\\nas of March 31, 2026\\n' || case o_orderkey % 3 when 0 then {_text(f"'Investments, at fair value (cost: $ ', {_a}, ') $ ', {_b}, '\\n2 notes'")} when 1 then {_text(f"'Investment, at estimated fair value $ ', {_b}, '\\n(Cost equal to $', {_a}, ' at year end)'")} else {_text(f"'Investments, at fair value ', {_b}")} end"
+HEADERS = "case o_orderkey % 4 when 0 then 'Company Name Date Round # Shares Cost/Share FMV/Share Cost Fair Value' when 1 then 'Shares Cost Value' when 2 then 'Issuer Value' else 'plain words' end"
+
+
+def _printed(spark: SparkSession, sf: str, text: str) -> DataFrame:
+    pages = _t(spark, sf, "orders").selectExpr("o_orderkey as doc_id", f"posexplode(split({text}, '~')) as (p, text)")
+    return pages.selectExpr("doc_id", "p + 1 as page", "posexplode(split(text, '\n')) as (line_no, text)")
+
+
+def _header_words(rows: DataFrame) -> DataFrame:
+    """Words of (doc_id, text): the text on one line, and a word far below it."""
+    words = rows.selectExpr("doc_id", "1 as page", "posexplode(split(concat(text, ' Acme'), ' ')) as (word_no, text)")
+    return words.selectExpr("*", "10.0D * word_no as x0", "10.0D * word_no + 8 as x1", "case when text = 'Acme' then 700.0D else 100.2D end as top", "710.0D as bottom")
 
 
 SUBTOTALS = ["Schedule of Investments", "Acme Robotics 01/02/2020 Series A", "$ 1,000 $ 1,500 500", "Beta Health", "01/02/2020 100 $ 2,000 $ 2,500", "Series A preferred", "Total $ 2,000 $ 2,500", "Gamma Labs", "Total 700 900", "5 6 7"]
-AUDITED = ["Alpha Systems** Software USA", "Series A 10 1,000 2,000", "Series B 10 3,000 4,000", "Beta Cyber Cybersecurity Israel", "Series A 10 100 200", "300 500 200", "9 9 9"]
 
 
 def text_subtotals(spark: SparkSession, sf: str) -> DataFrame:
@@ -311,13 +326,12 @@ def text_subtotals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audited_positions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = D.audited_positions(_statement(spark, AUDITED))
+    rows = D.audited_positions(_printed(spark, sf, AUDITED))
     return rows.select("doc_id", "company_name", F.col("cost").cast("double").alias("cost"), F.col("fair_value").cast("double").alias("fair_value"))
 
 
 def header_layout(spark: SparkSession, sf: str) -> DataFrame:
-    words = [("d1", 1, i, w, 10.0 * i, 100.2, 10.0 * i + 8, 110.0) for i, w in enumerate("Company Name Date Cost Fair Value".split())]
-    return D.header_layout(spark.createDataFrame(words, "doc_id string, page int, word_no int, text string, x0 double, top double, x1 double, bottom double"))
+    return D.header_layout(_header_words(_t(spark, sf, "orders").selectExpr("o_orderkey as doc_id", f"{HEADERS} as text")))
 
 
 def condensed_positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,17 +339,17 @@ def condensed_positions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inferred_positions(spark: SparkSession, sf: str) -> DataFrame:
-    return D.line_positions(_statement(spark, INFERRED))
+    rows = D.line_positions(_printed(spark, sf, INFERRED))
+    return rows.select("doc_id", "line_no", "name", F.col("cost").cast("double").alias("cost"), F.col("fair_value").cast("double").alias("fair_value"))
 
 
 def fund_aggregate(spark: SparkSession, sf: str) -> DataFrame:
-    a = D.fund_aggregate(_statement(spark, AGGREGATE))
+    a = D.fund_aggregate(_printed(spark, sf, AGGREGATE))
     return a.select("doc_id", *[F.col(c).cast("double").alias(c) for c in ("cost", "fair_value", "unrealized")], "as_of")
 
 
 def schema_inference(spark: SparkSession, sf: str) -> DataFrame:
-    words = [("d1", 1, i, w, 10.0 * i, 100.2, 10.0 * i + 8, 110.0) for i, w in enumerate(HEADER.split())]
-    return D.infer_schema(spark.createDataFrame(words, "doc_id string, page int, word_no int, text string, x0 double, top double, x1 double, bottom double"))
+    return D.infer_schema(_header_words(_t(spark, sf, "orders").selectExpr("o_orderkey as doc_id", f"{HEADERS} as text")))
 
 
 def _gate_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,7 +493,7 @@ SQL: dict[str, str] = {
     "normalised_collisions": f"select norm, count(distinct name) as n_names, array_to_string(list_sort(list(distinct name)), '|') as names from (select name, {_norm.format('name')} as norm from (select {FORMS} as name from part)) where norm <> '' group by 1 having count(distinct name) > 1",
     "alias_resolution": f"with p as (select p_partkey, {FORMS} as name, concat('F', p_partkey % 3) as fund from part), f as (select distinct {_match.format(chr(34) + 'p_name' + chr(34))} as a, concat('fund:', p_name) as c from part where p_partkey % 50 = 0), g as (select distinct {_match.format('p_name')} as a, concat('all:', p_name) as c from part where p_partkey % 20 = 0) select p_partkey, coalesce((select max(c) from f where fund = 'F1' and a = {_match.format('name')}), (select max(c) from g where a = {_match.format('name')}), name) as canonical from p",
     "sampling_eligibility": f"with {panel_sql()}, {_FUND_STATS} select count(*) filter (r > 0) as on_date, count(*) filter (k >= 1) as with_real, count(*) filter (k >= 1 and n between {PARAMS.least} and {PARAMS.most}) as eligible, count(*) filter (k >= 1 and n < {PARAMS.least}) as too_few, count(*) filter (k >= 1 and n > {PARAMS.most}) as too_many, count(*) filter (k >= 1 and n between {PARAMS.least} and {PARAMS.most} and wd) as winding_down from fw",
-    "route_documents": "select doc_id, case doc_id % 6 when 0 then 'investor_letter' when 2 then 'financial_statements_aggregate_only' when 5 then 'unknown' else 'financial_statements_with_schedule' end as document_class, case doc_id % 6 when 1 then 'vc_lot_schedule' when 3 then 'condensed_hedge_schedule' end as template_family, case doc_id % 6 when 0 then 'blocked_narrative' when 1 then 'position_level' when 2 then 'fund_aggregate_only' when 3 then 'position_level' else 'manual_review' end as extraction_mode, case when doc_id % 6 in (1, 3, 4) then '1' else '' end as schedule_pages, case doc_id % 6 when 0 then 0.95 when 1 then 0.99 when 2 then 0.9 when 3 then 0.99 when 4 then 0.4 else 0.2 end::double as confidence from documents",
+    "route_documents": "select doc_id, case doc_id % 6 when 0 then 'investor_letter' when 2 then 'financial_statements_aggregate_only' when 5 then 'unknown' else 'financial_statements_with_schedule' end as document_class, case doc_id % 6 when 1 then 'vc_lot_schedule' when 3 then 'condensed_hedge_schedule' when 4 then case when doc_id % 12 = 4 then 'generic_holdings_schedule' end end as template_family, case doc_id % 6 when 0 then 'blocked_narrative' when 1 then 'position_level' when 2 then 'fund_aggregate_only' when 3 then 'position_level' when 4 then case when doc_id % 12 = 4 then 'position_level_inferred' else 'manual_review' end else 'manual_review' end as extraction_mode, case when doc_id % 6 in (1, 3, 4) then '1' else '' end as schedule_pages, case doc_id % 6 when 0 then 0.95 when 1 then 0.99 when 2 then 0.9 when 3 then 0.99 when 4 then case when doc_id % 12 = 4 then 0.95 else 0.4 end else 0.2 end::double as confidence from documents",
     "gates": f"with {_GATES} select gate, case when ok then 'PASS' else 'FAIL' end as status, count(*) as documents from gp group by 1, 2",
     "comparability": f"with {_COMPARABLE} select comparability_status, blocking_gates, count(*) as documents from cs group by 1, 2",
     "batch_summary": f"with {_COMPARABLE} select mode as extraction_mode, count(*) as documents, count(*) filter (doc_id % 13 = 0) as errors, count(*) filter (comparability_status = 'comparable') as comparable, count(*) filter (comparability_status = 'not_comparable') as not_comparable from cs group by 1",
@@ -499,12 +513,12 @@ SQL |= {
         [("", None, "blank", None, None), ("-", "0", "dash", None, None), ("—", "0", "dash", None, None), ("$-", "0", "dash", None, None), ("$1,234", "1234", "ok", 1234, 1234), ("(1,234)", "-1234", "ok", 1234, -1234), ("($ 1,234)", "-1234", "ok", 1234, -1234), ("0", "0", "zero", 0, 0), ("()", None, "parse_error", None, None), ("abc", None, "parse_error", None, None), ("12%", "12", "ok", 12, 12), ("1.50", "1.5", "ok", 150, 150), ("0.00", "0", "zero", 0, 0), ("1e5", None, "parse_error", 15, 15), ("NaN", None, "parse_error", None, None), (" 7 ", "7", "ok", 7, 7)],
     ),
     "condensed_positions": _values("doc_id, page, line_no, name, shares, cost, fair_value, entity_grain", [("d1", 1, 4, "Alpha Systems", "1000", "250000", "300500", "security"), ("d1", 1, 5, "Other", "10", "5000", "6000", "other_bucket"), ("d1", 1, 7, "Semiconductors", None, "40000", "41000", "security")]),
-    "inferred_positions": _values("doc_id, name, cost, fair_value", [("d1", "Beta Robotics", 1000.0, 1500.0), ("d1", "Gamma Health", 2000.0, 2500.0), ("d1", "Delta", 700.0, 700.0)]),
-    "fund_aggregate": _values("doc_id, cost, fair_value, unrealized, as_of", [("d1", 1200000.0, 1500000.0, 300000.0, "2026-03-31")]),
-    "schema_inference": _values("doc_id, page, columns, confidence, grain", [("d1", 1, "entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value", 0.95, "lot")]),
+    "inferred_positions": f"select o_orderkey as doc_id, 3 as line_no, 'Beta Robotics' as name, case when o_orderkey % 3 = 0 then {_a} + {_b} else {_a} end::double as cost, case when o_orderkey % 3 = 0 then {_a} + {_b} else {_b} end::double as fair_value from orders where o_orderkey % 3 < 2 union all select o_orderkey, 4, 'Gamma Health', 2000, 2500 from orders",
+    "fund_aggregate": f"select o_orderkey as doc_id, {_a}::double as cost, {_b}::double as fair_value, ({_b} - {_a})::double as unrealized, '2026-03-31' as as_of from orders where o_orderkey % 3 < 2",
+    "schema_inference": "select o_orderkey as doc_id, 1 as page, t.* exclude m from orders join (values (0, 'entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', 'company_name,date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', '', 0.95::double, 'lot', false, 'header_band'), (1, 'shares,cost,fair_value', 'company_name,shares,cost,fair_value', '', 0.95, 'company', true, 'header_band'), (2, 'entity_name,fair_value', 'company_name,fair_value,cost', 'cost', 0.75, 'company', false, 'upper_part')) t(m, columns, names, missing, confidence, grain, company_headers, source) on o_orderkey % 4 = m",
     "text_subtotals": _values("doc_id, line_no, company_name, cost, fair_value", [("d1", 2, "Acme Robotics", 1000.0, 1500.0), ("d1", 4, "Beta Health", 2000.0, 2500.0), ("d1", 8, "Gamma Labs", 700.0, 900.0)]),
-    "audited_positions": _values("doc_id, company_name, cost, fair_value", [("d1", "Alpha Systems", 3000.0, 4000.0), ("d1", "Beta Cyber", 300.0, 500.0)]),
-    "header_layout": _values("doc_id, page, columns, separators", [("d1", 1, "entity_name,investment_date,cost,fair_value", "16.5,29.0,41.5")]),
+    "audited_positions": f"select o_orderkey as doc_id, 'Alpha Systems' as company_name, ({_a} + (o_orderkey % 2 = 0)::int)::double as cost, ({_b} + (o_orderkey % 2 = 0)::int)::double as fair_value from orders union all select o_orderkey, 'Gamma Labs', 1, {_b} from orders",
+    "header_layout": "select o_orderkey as doc_id, 1 as page, columns, separators from orders join (values (0, 'entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', '14.0,29.0,44.0,59.0,69.0,79.0,94.0'), (1, 'shares,cost,fair_value', '9.0,19.0'), (2, 'entity_name,fair_value', '9.0')) t(m, columns, separators) on o_orderkey % 4 = m",
     "eligible_scored": f"with {panel_sql()}, {_FUND_STATS}, x as (select h.fund_id, round(sum((capital_invested is not null)::int + (current_cost is not null)::int + (unrealized_value is not null)::int + (realized_proceeds is not null)::int + (deal_status is not null)::int + (sector is not null)::int + (geographic_focus is not null)::int) / (count(*) * 7), 6) as completeness from h join fw using (fund_id) where as_at_date = date '1998-12-31' and not coalesce(regexp_matches(source_asset, '{N.PREFIX_ONLY}'), false) and fw.k >= 1 and fw.n between {PARAMS.least} and {PARAMS.most} group by 1) select *, dense_rank() over (order by completeness desc) as tier from x",
     "entity_mappings": f"with v as (select {_match.format('p_name')} as form, max_by(p_name, p_partkey) as vendor_name from part group by 1), o as (select {FORMS} as name, p_partkey as position from part), r as (select p_name || ' Inc.' as name, p_partkey as position from part), mine as (select name, form, vendor_name from (select *, {_match.format('name')} as form from o) join v using (form) qualify row_number() over (partition by vendor_name order by position) = 1), sold as (select {_match.format('name')} as form, max_by(name, position) as realized_name from r group by 1) select name, realized_name, vendor_name, 'confirmed' as mapping_status from mine left join sold using (form) union all select null, name, vendor_name, 'confirmed_realized_only' from (select *, {_match.format('name')} as form from r) join v using (form) where vendor_name not in (select vendor_name from mine) qualify row_number() over (partition by vendor_name order by position) = 1",
     "statement_metadata": "select field, parse_status, sum(n)::bigint as documents from (select 'as_of_date' as field, 'not_disclosed' as parse_status, count(*) as n from documents union all select 'audit_status', 'not_disclosed', count(*) from documents union all select 'currency_symbol', 'not_disclosed', count(*) from documents union all select 'currency', 'not_disclosed', count(*) from documents union all select 'unit', 'not_disclosed', count(*) from documents) group by 1, 2",

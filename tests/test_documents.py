@@ -107,3 +107,49 @@ def test_routes(spark):
     lines = spark.createDataFrame([(k, 1, i, t) for k, v in texts.items() for i, t in enumerate(v.split("\n"))], "doc_id string, page int, line_no int, text string")
     got = {r["doc_id"]: (r["extraction_mode"], r["template_family"]) for r in D.route(lines).collect()}
     assert got == {"letter": ("blocked_narrative", None), "vc": ("position_level", "vc_lot_schedule"), "contents": ("manual_review", None), "assets": ("fund_aggregate_only", None), "afs": ("position_level", "audited_portfolio_schedule")}
+
+
+def _lines(spark, pages):
+    rows = [("d", p, i, t) for p, ls in enumerate(pages, 1) for i, t in enumerate(ls)]
+    return spark.createDataFrame(rows, "doc_id string, page int, line_no int, text string")
+
+
+def test_inferred_positions(spark):
+    pages = [["Alpha Robotics", "Series A Preferred 1,000", "Series B 2.50 2,000", "Total 9", "Beta", "Series Seed 1,500", "Gamma"], ["$ 4,000 5,000", "Delta 1,000 (2,000)", "Series X 7,000", None, "", "12", "Total 1", "Epsilon"]]
+    got = lambda **k: {(r["name"], int(r["cost"]), int(r["fair_value"])) for r in D.line_positions(_lines(spark, pages), **k).collect()}
+    companies = {("Alpha Robotics", 3000, 3000), ("Beta", 1500, 1500), ("Gamma", 4000, 5000)}
+    assert got() == companies | {("Delta", 1000, 2000)}
+    assert got(company_headers=True, has_shares=True) == companies - {("Gamma", 4000, 5000)} | {("Gamma", 5000, 5000)}
+    assert D.line_positions(_lines(spark, [])).count() == 0
+
+
+def test_audited_positions(spark):
+    pages = [["Alpha** Software USA", "Series A 5 10 20", "Beta Software Capital preferred units", "1 2 3", "Alpha Software USA", "Common 5 7 8"], ["4 5 6", "Alpha Software Israel", "9 9 -"]]
+    got = [(r["company_name"], int(r["cost"]), int(r["fair_value"])) for r in D.audited_positions(_lines(spark, pages)).collect()]
+    assert sorted(got) == [("Alpha", 1, 2), ("Alpha", 9, 9)]
+
+
+def test_headers(spark):
+    at = lambda doc, page, top, text: [(doc, page, int(top) * 100 + i, w, 10.0 * i, float(top), 10.0 * i + 8, top + 9.0) for i, w in enumerate(text.split())]
+    rows = at("a", 1, 50, "Company Cost Date") + at("a", 1, 90, "Company Name Round Cost Fair Value") + at("a", 1, 100, "nothing") + at("b", 1, 10, "plain") + at("b", 2, 10, "Issuer") + at("b", 2, 20, "FMV") + at("b", 2, 500, "Cost") + at("c", 7, 10, "plain")
+    words = spark.createDataFrame([*rows, ("a", 1, 0, None, None, None, None, None)], "doc_id string, page int, word_no int, text string, x0 double, top double, x1 double, bottom double")
+    got = {r["doc_id"]: r for r in D.infer_schema(words).collect()}
+    assert set(got) == {"a", "b"}
+    assert (got["a"]["columns"], got["a"]["missing"], got["a"]["source"]) == ("entity_name,round,cost,fair_value", "", "header_band")
+    assert (got["b"]["page"], got["b"]["names"], got["b"]["missing"], got["b"]["source"]) == (2, "company_name,fair_value,cost", "cost", "upper_part")
+
+
+def test_inferred_route(spark):
+    lines = _lines(spark, [["Schedule of investments 1"]])
+    words = lambda t: spark.createDataFrame([("d", 1, i, w, 10.0 * i, 5.0, 10.0 * i + 8, 9.0) for i, w in enumerate(t.split())], "doc_id string, page int, word_no int, text string, x0 double, top double, x1 double, bottom double")
+    mode = lambda **k: tuple(D.route(lines, **k).select("extraction_mode", "template_family", "confidence").first())
+    assert mode() == ("manual_review", None, 0.4)
+    assert mode(words=words("Company Cost Value")) == ("position_level_inferred", "generic_holdings_schedule", 0.95)
+    assert mode(words=words("Company Value Date"))[0] == "manual_review"
+    assert C.onboarding(D.route(lines, words=words("Company Cost Value"))).count() == 2
+
+
+def test_aggregates(spark):
+    texts = {1: "Investments, at fair value (cost $ 1,000) $ 2,500\n7 notes", 2: "Investments, at estimated fair value $ 30\n(Cost equal to $10 at 2020)", 3: "Investment, at estimated fair value (cost: 5) 6", 4: "Investments, at fair value 5"}
+    rows = spark.createDataFrame([(k, 2, i, t) for k, v in texts.items() for i, t in enumerate(v.split("\n"))], "doc_id int, page int, line_no int, text string")
+    assert {r["doc_id"]: (int(r["cost"]), int(r["fair_value"]), int(r["unrealized"])) for r in D.fund_aggregate(rows).collect()} == {1: (1000, 2500, 1500), 2: (10, 30, 20), 3: (5, 6, 1)}
