@@ -57,6 +57,10 @@ SUFFIXES = r"\b(inc|inc\.|incorporated|llc|l\.l\.c|ltd|ltd\.|limited|corp|corp\.
 MATCH_TOKENS = r"\b(inc|incorporated|ltd|limited|llc|corp|corporation|co|company|dba|the)\b"
 
 
+#: Character classes of patterns mean all of Unicode, as a no-break space is a blank in a name too. Spark's dialect only.
+WIDE = "(?U)"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, however often body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -69,14 +73,14 @@ def truthy(condition: Column) -> Column:
 
 def source_asset_class(name: Column) -> Column:
     """First class whose pattern matches; a null or blank name is an accounting entry."""
-    out = F.when(name.isNull() | ~name.rlike(r"\S"), "accounting_entry").when(~name.rlike(TRIGGERS), "holding")
+    out = F.when(name.isNull() | ~name.rlike(WIDE + r"\S"), "accounting_entry").when(~name.rlike(TRIGGERS), "holding")
     for kind, patterns in PATTERNS.items():
-        out = out.when(reduce(or_, [name.rlike(p) for p in patterns]), kind)
+        out = out.when(reduce(or_, [name.rlike(WIDE + p) for p in patterns]), kind)
     return out.otherwise("holding")
 
 
 def needs_review(name: Column) -> Column:
-    return truthy(name.rlike("(?i)investment") & name.rlike(REVIEW))
+    return truthy(name.rlike("(?i)investment") & name.rlike(WIDE + REVIEW))
 
 
 def malformed(identifier: Column) -> Column:
@@ -93,7 +97,7 @@ def norm_name(name: Column) -> Column:
 def match_name(name: Column) -> Column:
     """Lower case without a few marks and company words; other punctuation stays."""
     plain = F.regexp_replace(F.lower(name), r"""["'().,]""", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, MATCH_TOKENS, " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, MATCH_TOKENS, " "), WIDE + r"\s+", " "))
 
 
 def sorted_tokens(name: Column) -> Column:

@@ -27,6 +27,11 @@ def cadence(real: DataFrame, quarterly: int = 100, semi_annual: int = 200) -> Da
     return calendars(real).select(FUND, F.size("dates").alias("n_dates"), _median_gap(F.col("dates")).alias("median_gap")).withColumn("cadence", kind)
 
 
+def with_cadence(real: DataFrame) -> DataFrame:
+    """real with n_dates, median_gap and cadence of its fund; null for rows without a fund."""
+    return real.join(cadence(real), FUND, "left")
+
+
 def series(real: DataFrame) -> DataFrame:
     rows = real.where(F.col(FUND).isNotNull() & F.col(ASSET).isNotNull())
     return rows.groupBy(FUND, ASSET).agg(F.min(AS_AT).alias("first"), F.max(AS_AT).alias("last"), F.countDistinct(AS_AT).alias("n_periods"))

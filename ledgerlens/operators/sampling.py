@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import PREFIX_ONLY, truthy
+from ..functions.names import PREFIX_ONLY, WIDE, truthy
 from ..schema import AS_AT, ASSET, FUND, MANAGER
+from .ordinals import running_total
 from .scorecard import completeness, count_if, investment_key
 
 
@@ -29,12 +30,12 @@ class SampleParams:
 
 def real_by_prefix(panel: DataFrame) -> DataFrame:
     """Rows whose name hasn't the prefix of a balance sheet line; this population is wider than that of the classifier."""
-    return panel.where(~truthy(F.col(ASSET).rlike(PREFIX_ONLY)))
+    return panel.where(~truthy(F.col(ASSET).rlike(WIDE + PREFIX_ONLY)))
 
 
 def fund_stats(panel: DataFrame, date, p: SampleParams = SampleParams()) -> DataFrame:  # noqa: ANN001
     """Statistics of each fund at a date, with its greatest number of investments at any date and whether it winds down."""
-    real = ~truthy(F.col(ASSET).rlike(PREFIX_ONLY))
+    real = ~truthy(F.col(ASSET).rlike(WIDE + PREFIX_ONLY))
     key = F.when(real, investment_key())
     by_date = panel.where(F.col(FUND).isNotNull()).groupBy(FUND, AS_AT).agg(F.countDistinct(key).alias("n"), F.count("*").alias("rows"), count_if(real).alias("real"))
     peak = by_date.groupBy(FUND).agg(F.max("n").alias("peak_investments"), *[F.coalesce(F.max(F.when(F.col(AS_AT) == date, F.col(c))), F.lit(0)).alias(o) for c, o in (("n", "n_real_investments"), ("rows", "n_total_rows"), ("real", "n_real_rows"))])
@@ -54,9 +55,9 @@ def eligibility_funnel(stats: DataFrame, p: SampleParams = SampleParams()) -> Da
 
 
 def tiers(funds: DataFrame) -> DataFrame:
-    """Funds with their tier: distinct scores from the best. The window is over the distinct scores."""
-    scores = funds.select("completeness").distinct().withColumn("tier", F.row_number().over(Window.orderBy(F.desc("completeness"))))
-    return funds.join(F.broadcast(scores), "completeness")
+    """Funds with their tier: distinct scores from the best. The scores are counted in ranges, no task sorts them all; none, no tier."""
+    scores = running_total(funds.where("completeness is not null").select((-F.col("completeness")).alias("below")).distinct(), "below", F.lit(1), "tier")
+    return funds.join(scores.select((-F.col("below")).alias("completeness"), F.col("tier").cast("int").alias("tier")), "completeness")
 
 
 def select_diverse(candidates: pd.DataFrame, n: int, taken: pd.DataFrame | None = None, p: SampleParams = SampleParams()) -> pd.DataFrame:

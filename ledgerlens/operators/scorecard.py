@@ -11,10 +11,20 @@ from pyspark.sql import functions as F
 
 from ..functions.names import malformed, needs_review, source_asset_class, truthy
 from ..schema import AS_AT, ASSET, ASSET_ID, CHECKED, CLASSES, DEFAULTS, FUND, MANAGER, MANDATORY, Params
+from ..sources.shared import settled
+from .ordinals import running_total
 
 long = lambda c: c.cast("long")
 
 
+def required(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows, if they have all the columns; else an error that names the missing ones."""
+    missing = [c for c in columns if c not in rows.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return rows
+
+
 def count_if(condition: Column) -> Column:
     return F.count(F.when(truthy(condition), 1))
 
@@ -291,14 +301,14 @@ def latest_cross_section(rows: DataFrame) -> DataFrame:
 def average_ranks(rows: DataFrame, columns: list[str]) -> DataFrame:
     """rows with r_<column>: rank from 1, ties share the mean rank.
 
-    The ranks come from counts by value: a window over the distinct values, not over the rows.
+    The ranks come from counts by value, in ranges of values: no task sorts them all. Columns are numbers; a null has no rank. rows are
+    read several times for each column, so they are settled first.
     """
-    from pyspark.sql import Window
-
+    rows = settled(rows)
     for c in columns:
-        counts = rows.groupBy(F.col(c).alias("v")).agg(F.count("*").alias("k")).where("v is not null")
-        ranked = counts.select("v", (F.sum("k").over(Window.orderBy("v")) - (F.col("k") - 1) / 2).alias(f"r_{c}"))
-        rows = rows.join(ranked, F.col(c) == F.col("v"), "left").drop("v")
+        counts = rows.groupBy(F.col(c).alias("v_")).agg(F.count("*").alias("k_")).where("v_ is not null")
+        ranked = running_total(counts, "v_", F.col("k_"), "total_").select("v_", (F.col("total_") - (F.col("k_") - 1) / 2).alias(f"r_{c}"))
+        rows = rows.join(ranked, F.col(c) == F.col("v_"), "left").drop("v_")
     return rows
 
 

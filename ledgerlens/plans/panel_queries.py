@@ -107,6 +107,7 @@ QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "calendar_gaps": lambda h: P.calendars(_real(h)).select("fund_id", F.size("dates").alias("n_dates"), F.array_min("dates").alias("first"), F.array_max("dates").alias("last")),
     "reporting_gaps": lambda h: P.reporting_gaps(_real(h)),
     "naive_grid_gaps": lambda h: P.naive_grid_gaps(_real(h)),
+    "rows_by_cadence": lambda h: P.with_cadence(_real(h)).groupBy("cadence").agg(F.count("*").alias("n_rows"), F.countDistinct("fund_id").alias("n_funds")),
     "date_rank": lambda h: P.date_rank(_real(h)),
 }
 
@@ -280,6 +281,7 @@ SQL: dict[str, str] = {
     "status_rank_diff": f"with {_LAG} select k1, k2, drk as d_status_rank from d where drk is not null",
     "public_private_crosstab": "select coalesce(type_of_investment, 'MISSING') as type_of_investment, count(ticker) as with_ticker, count(*) - count(ticker) as without_ticker from real group by 1",
     "cadence": "with d as (select distinct fund_id, as_at_date from real), g as (select fund_id, as_at_date, date_diff('day', lag(as_at_date) over (partition by fund_id order by as_at_date), as_at_date) as gap from d), m as (select fund_id, count(*) as n_dates, quantile_cont(gap, 0.5) as median_gap from g group by 1) select *, case when median_gap is null then 'single-period' when median_gap <= 100 then 'quarterly' when median_gap <= 200 then 'semi-annual' else 'annual' end as cadence from m",
+    "rows_by_cadence": "with d as (select distinct fund_id, as_at_date from real), g as (select fund_id, as_at_date, date_diff('day', lag(as_at_date) over (partition by fund_id order by as_at_date), as_at_date) as gap from d), m as (select fund_id, count(*) as n_dates, quantile_cont(gap, 0.5) as median_gap from g group by 1) select cadence, count(*) as n_rows, count(distinct fund_id) as n_funds from real left join (select fund_id, case when median_gap is null then 'single-period' when median_gap <= 100 then 'quarterly' when median_gap <= 200 then 'semi-annual' else 'annual' end as cadence from m) using (fund_id) group by 1",
     "calendar_gaps": "select fund_id, count(distinct as_at_date) as n_dates, min(as_at_date) as first, max(as_at_date) as last from real group by 1",
     "reporting_gaps": "with s as (select fund_id, source_asset, min(as_at_date) as first, max(as_at_date) as last, count(distinct as_at_date) as n_periods from real where source_asset is not null group by 1, 2), d as (select distinct fund_id, as_at_date from real), e as (select s.fund_id, source_asset, first, last, n_periods, count(*) as expected from s join d on d.fund_id = s.fund_id and as_at_date between first and last group by all) select *, expected - n_periods as gap_periods from e where expected > n_periods",
     "naive_grid_gaps": "with r as (select as_at_date, row_number() over (order by as_at_date) - 1 as k from (select distinct as_at_date from real)), s as (select fund_id, source_asset, min(as_at_date) as first, max(as_at_date) as last, count(distinct as_at_date) as n_periods from real where source_asset is not null group by 1, 2) select fund_id, source_asset, b.k - a.k + 1 - n_periods as missing_periods from s join r a on a.as_at_date = first join r b on b.as_at_date = last where b.k - a.k + 1 > n_periods",

@@ -100,3 +100,27 @@ def test_aliases_with_company_words(spark):
 @pytest.mark.parametrize("value", ["a", "abc", "a b"])
 def test_block_ratio_is_one_for_equal(spark, value):
     assert spark.createDataFrame([(value,)], "a string").select(E.block_ratio("a", "a")).first()[0] == 1.0
+
+
+def test_no_break_spaces(spark):
+    names = [" Cash", " ", "Total assets", "Non-Investment Assets", "Alpha Inc"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").select(N.source_asset_class(F.col("n")).alias("c"), N.match_name(F.col("n")).alias("m")).collect()
+    assert [r["c"] for r in rows] == ["accounting_entry", "accounting_entry", "subtotal", "balance_sheet", "holding"]
+    assert rows[4]["m"] == "alpha"
+
+
+def test_running_total(spark):
+    import random
+
+    from ledgerlens.operators.ordinals import running_total
+    from ledgerlens.operators.scorecard import average_ranks, required
+
+    draw = random.Random(3)
+    values = [draw.choice([0.0, 1.5, -2.0, draw.random()]) for _ in range(400)]
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = {r["v"]: r["r_v"] for r in average_ranks(rows, ["v"]).collect()}
+    assert got.pop(None) is None
+    assert got == {v: sum(x < v for x in values) + (values.count(v) + 1) / 2 for v in set(values)}
+    assert running_total(rows.where("false"), "v", F.lit(1), "t").count() == 0
+    with pytest.raises(ValueError, match="missing columns: w"):
+        required(rows, ["v", "w"])
