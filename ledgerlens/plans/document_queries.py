@@ -292,17 +292,14 @@ def phrase_bbox(spark: SparkSession, sf: str) -> DataFrame:
     return D.phrase_boxes(boxes, "of the")
 
 
-def _statement(spark: SparkSession, rows: list[str]) -> DataFrame:
-    return spark.createDataFrame([("d1", 1, i, t) for i, t in enumerate(rows)], "doc_id string, page int, line_no int, text string")
-
-
-CONDENSED = ["Condensed Schedule of Investments", "United States", "Common stocks", "Software", "Alpha Systems 1,000 250,000 300,500 4.5 %", "Other 10 5,000 6,000 0.1", "Health Care $ 900,000 $ 1,100,000 12.5%", "Semiconductors $ 40,000 $ 41,000 1.5 %", "Total investments $ 1,000 $ 2,000 3"]
 #: Two amounts of an order, and statements that print them, with the same expressions in both engines. A tilde is a page break.
 _a, _b = "(10000 + o_custkey)", "(2000000 + o_orderkey)"
 _text = "concat({0})".format
 INFERRED = f"case o_orderkey % 3 when 0 then {_text(f"'Beta Robotics\\nSeries A Preferred 1.25 ', {_a}, '\\nCommon stock ', {_b}, '\\nTotal 9,999'")} when 1 then {_text(f"'Beta Robotics\\nSeries A ', {_b}, '\\n\\n$ ', {_a}, ' ', {_b}")} else {_text(f"'Schedule of Investments\\nSeries A Preferred ', {_a}, '\\n12\\n', {_b}")} end || '\\nGamma Health 2,000 (2,500)\\nDelta 700'"
 AUDITED = f"{_text(f"'Alpha Systems** Software USA\\nSeries A 10 ', {_a}, ' $ ', {_b}, '\\nBeta Software Capital preferred units'")} || case when o_orderkey % 2 = 0 then {_text(f"'\\n$', {_a} + 1, ' $', {_b} + 1, ' (9)'")} else '' end || {_text(f"'~Net unrealized gain\\n', {_a}, ' ', {_b}, ' 5\\nGamma Labs Healthcare Israel *\\nOrdinary shares 5 1 ', {_b}")}"
 AGGREGATE = f"'Statement of financial condition\\nas of March 31, 2026\\n' || case o_orderkey % 3 when 0 then {_text(f"'Investments, at fair value (cost: $ ', {_a}, ') $ ', {_b}, '\\n2 notes'")} when 1 then {_text(f"'Investment, at estimated fair value $ ', {_b}, '\\n(Cost equal to $', {_a}, ' at year end)'")} else {_text(f"'Investments, at fair value ', {_b}")} end"
+CONDENSED = _text(f"'Condensed Schedule of Investments\\nUnited States\\nAlpha Systems 1,000 ', {_a}, ' ', {_b}, ' 4.5 %\\nOther 10 ', {_b}, ' 6,000 0.1\\nHealth Care $ 900,000 $ 1,100,000 12.5%\\nGrid Storage $ ', {_a}, ' $ ', {_b}, ' 1.5 %\\nTotal investments $ 1,000 $ 2,000 3'")
+SUBTOTALS = _text(f"'Schedule of Investments\\nAcme Robotics 01/02/2020 Series A\\n$ ', {_a}, ' $ ', {_b}, ' 500\\nBeta Health\\n01/02/2020 100 $ ', {_b}, ' $ ', {_a}, '\\nSeries A preferred\\nTotal $ 2,000 $ 2,500\\nGamma Labs\\nTotal ', {_a}, ' ', {_a}, '\\n5 6 7'")
 HEADERS = "case o_orderkey % 4 when 0 then 'Company Name Date Round # Shares Cost/Share FMV/Share Cost Fair Value' when 1 then 'Shares Cost Value' when 2 then 'Issuer Value' else 'plain words' end"
 
 
@@ -317,11 +314,8 @@ def _header_words(rows: DataFrame) -> DataFrame:
     return words.selectExpr("*", "10.0D * word_no as x0", "10.0D * word_no + 8 as x1", "case when text = 'Acme' then 700.0D else 100.2D end as top", "710.0D as bottom")
 
 
-SUBTOTALS = ["Schedule of Investments", "Acme Robotics 01/02/2020 Series A", "$ 1,000 $ 1,500 500", "Beta Health", "01/02/2020 100 $ 2,000 $ 2,500", "Series A preferred", "Total $ 2,000 $ 2,500", "Gamma Labs", "Total 700 900", "5 6 7"]
-
-
 def text_subtotals(spark: SparkSession, sf: str) -> DataFrame:
-    rows = D.text_subtotals(_statement(spark, SUBTOTALS))
+    rows = D.text_subtotals(_printed(spark, sf, SUBTOTALS))
     return rows.select("doc_id", "line_no", "company_name", F.col("cost").cast("double").alias("cost"), F.col("fair_value").cast("double").alias("fair_value"))
 
 
@@ -335,7 +329,7 @@ def header_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def condensed_positions(spark: SparkSession, sf: str) -> DataFrame:
-    return D.condensed_positions(_statement(spark, CONDENSED))
+    return D.condensed_positions(_printed(spark, sf, CONDENSED))
 
 
 def inferred_positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -512,11 +506,11 @@ SQL |= {
         "token, normalized, status, digits, clean",
         [("", None, "blank", None, None), ("-", "0", "dash", None, None), ("—", "0", "dash", None, None), ("$-", "0", "dash", None, None), ("$1,234", "1234", "ok", 1234, 1234), ("(1,234)", "-1234", "ok", 1234, -1234), ("($ 1,234)", "-1234", "ok", 1234, -1234), ("0", "0", "zero", 0, 0), ("()", None, "parse_error", None, None), ("abc", None, "parse_error", None, None), ("12%", "12", "ok", 12, 12), ("1.50", "1.5", "ok", 150, 150), ("0.00", "0", "zero", 0, 0), ("1e5", None, "parse_error", 15, 15), ("NaN", None, "parse_error", None, None), (" 7 ", "7", "ok", 7, 7)],
     ),
-    "condensed_positions": _values("doc_id, page, line_no, name, shares, cost, fair_value, entity_grain", [("d1", 1, 4, "Alpha Systems", "1000", "250000", "300500", "security"), ("d1", 1, 5, "Other", "10", "5000", "6000", "other_bucket"), ("d1", 1, 7, "Semiconductors", None, "40000", "41000", "security")]),
+    "condensed_positions": f"select o_orderkey as doc_id, 1 as page, 2 as line_no, 'Alpha Systems' as name, '1000' as shares, {_a}::varchar as cost, {_b}::varchar as fair_value, 'security' as entity_grain from orders union all select o_orderkey, 1, 3, 'Other', '10', {_b}::varchar, '6000', 'other_bucket' from orders union all select o_orderkey, 1, 5, 'Grid Storage', null, {_a}::varchar, {_b}::varchar, 'security' from orders",
     "inferred_positions": f"select o_orderkey as doc_id, 3 as line_no, 'Beta Robotics' as name, case when o_orderkey % 3 = 0 then {_a} + {_b} else {_a} end::double as cost, case when o_orderkey % 3 = 0 then {_a} + {_b} else {_b} end::double as fair_value from orders where o_orderkey % 3 < 2 union all select o_orderkey, 4, 'Gamma Health', 2000, 2500 from orders",
     "fund_aggregate": f"select o_orderkey as doc_id, {_a}::double as cost, {_b}::double as fair_value, ({_b} - {_a})::double as unrealized, '2026-03-31' as as_of from orders where o_orderkey % 3 < 2",
     "schema_inference": "select o_orderkey as doc_id, 1 as page, t.* exclude m from orders join (values (0, 'entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', 'company_name,date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', '', 0.95::double, 'lot', false, 'header_band'), (1, 'shares,cost,fair_value', 'company_name,shares,cost,fair_value', '', 0.95, 'company', true, 'header_band'), (2, 'entity_name,fair_value', 'company_name,fair_value,cost', 'cost', 0.75, 'company', false, 'upper_part')) t(m, columns, names, missing, confidence, grain, company_headers, source) on o_orderkey % 4 = m",
-    "text_subtotals": _values("doc_id, line_no, company_name, cost, fair_value", [("d1", 2, "Acme Robotics", 1000.0, 1500.0), ("d1", 4, "Beta Health", 2000.0, 2500.0), ("d1", 8, "Gamma Labs", 700.0, 900.0)]),
+    "text_subtotals": f"select o_orderkey as doc_id, 2 as line_no, 'Acme Robotics' as company_name, {_a}::double as cost, {_b}::double as fair_value from orders union all select o_orderkey, 4, 'Beta Health', {_b}, {_a} from orders union all select o_orderkey, 8, 'Gamma Labs', {_a}, {_a} from orders",
     "audited_positions": f"select o_orderkey as doc_id, 'Alpha Systems' as company_name, ({_a} + (o_orderkey % 2 = 0)::int)::double as cost, ({_b} + (o_orderkey % 2 = 0)::int)::double as fair_value from orders union all select o_orderkey, 'Gamma Labs', 1, {_b} from orders",
     "header_layout": "select o_orderkey as doc_id, 1 as page, columns, separators from orders join (values (0, 'entity_name,investment_date,round,shares,cost_per_share,fmv_per_share,cost,fair_value', '14.0,29.0,44.0,59.0,69.0,79.0,94.0'), (1, 'shares,cost,fair_value', '9.0,19.0'), (2, 'entity_name,fair_value', '9.0')) t(m, columns, separators) on o_orderkey % 4 = m",
     "eligible_scored": f"with {panel_sql()}, {_FUND_STATS}, x as (select h.fund_id, round(sum((capital_invested is not null)::int + (current_cost is not null)::int + (unrealized_value is not null)::int + (realized_proceeds is not null)::int + (deal_status is not null)::int + (sector is not null)::int + (geographic_focus is not null)::int) / (count(*) * 7), 6) as completeness from h join fw using (fund_id) where as_at_date = date '1998-12-31' and not coalesce(regexp_matches(source_asset, '{N.PREFIX_ONLY}'), false) and fw.k >= 1 and fw.n between {PARAMS.least} and {PARAMS.most} group by 1) select *, dense_rank() over (order by completeness desc) as tier from x",
