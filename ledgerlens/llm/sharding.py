@@ -29,10 +29,10 @@ class Params:
     most: float = 1 / 32  # of a total, a quarter of one of eight shards: larger groups are split into parts
 
 
-def place(units: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each unit (rows: shares of bytes, tokens, rows, each column summing to 1), the largest first.
+def by_dot_product(units: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard of each unit, what is left of each shard); units are rows of shares of bytes, tokens, rows, each column summing to 1.
 
-    The residual of a shard in a dimension is what is left of an equal part, in equal parts. Ties go to the lowest shard.
+    The largest unit goes first. The residual of a shard in a dimension is what is left of an equal part, in equal parts. Ties go to the lowest shard.
     """
     residual = np.ones((shards, units.shape[1]))
     out = np.zeros(len(units), dtype=np.int64)
@@ -40,7 +40,13 @@ def place(units: np.ndarray, shards: int) -> np.ndarray:
     for i in np.lexsort((np.arange(len(units)), -units.sum(axis=1), -units.max(axis=1))):
         out[i] = s = int(np.argmax(residual @ scaled[i]))
         residual[s] -= scaled[i]
-    return _exchanged(scaled, out, residual)
+    return out, residual
+
+
+def place(units: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each unit by the dot product, finished by swaps."""
+    out, residual = by_dot_product(units, shards)
+    return _exchanged(units * shards, out, residual)
 
 
 def _exchanged(units: np.ndarray, out: np.ndarray, residual: np.ndarray, rounds: int = 400, tries: int = 200) -> np.ndarray:

@@ -1,6 +1,8 @@
 import zlib
+from fractions import Fraction
 
 import numpy as np
+import pytest
 
 from ledgerlens.llm import ranks
 from ledgerlens.llm import sharding as S
@@ -25,11 +27,29 @@ def test_small_groups_stay_together(spark):
     assert (got.assign(g=got["doc_id"] // 4).groupby("g")["shard"].nunique() == 1).all()
 
 
-def test_place_is_the_dot_product():
-    units = np.array([[0.5, 0.1], [0.1, 0.5], [0.2, 0.2], [0.2, 0.2]])
-    out = S.place(units, 2)
-    loads = np.array([units[out == s].sum(axis=0) for s in (0, 1)])
-    assert np.abs(loads - 0.5).max() <= 0.2 + 1e-9
+def plain(units, shards):
+    """The rule one unit at a time in exact numbers: largest share first, then largest sum, then the first; ties to the lowest shard."""
+    left = [[Fraction(1)] * len(units[0]) for _ in range(shards)]
+    out = [None] * len(units)
+    for i in sorted(range(len(units)), key=lambda i: (-max(units[i]), -sum(units[i]), i)):
+        need = [shards * u for u in units[i]]
+        fit = [sum(a * b for a, b in zip(need, r, strict=True)) for r in left]
+        out[i] = fit.index(max(fit))
+        left[out[i]] = [a - b for a, b in zip(left[out[i]], need, strict=True)]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_place_is_the_dot_product(seed):
+    rng = np.random.default_rng(seed)
+    # Totals are powers of two, so that shares are exact in both.
+    counts = np.array([rng.multinomial(1 << 16, rng.dirichlet(np.full(60, 0.4))) for _ in range(3)]).T
+    shares = [[Fraction(int(c), 1 << 16) for c in row] for row in counts]
+    out, residual = S.by_dot_product(counts / (1 << 16), 4)
+    assert out.tolist() == plain(shares, 4)
+    placed = S.place(counts / (1 << 16), 4)
+    loads = np.array([counts[placed == s].sum(axis=0) for s in range(4)]) * 4 / (1 << 16)
+    assert ((1 - loads) ** 2).sum() <= (residual**2).sum() + 1e-12
 
 
 def test_odd(odd, none_at_all):
