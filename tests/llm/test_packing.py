@@ -73,3 +73,39 @@ def test_table(odd, none_at_all):
     assert all(filled[r["bin_id"]] == r["bin_used"] <= r["bin_size"] for r in rows if r["bin_id"] is not None)
     assert P.pack(none_at_all, p).count() == 0
     assert P.pack(odd, p, length="n_chars").where("bin_id is not null").count() == 0
+
+
+def cheapest(piece, others, p):
+    """Size of least cost for a token, each size filled piece by piece with the longest that still fits; the smaller of equals."""
+    prices = []
+    for size in [s for s in p.sizes if s >= piece]:
+        room = size - piece
+        for other in sorted(others, reverse=True):
+            room -= other if other <= room else 0
+        used = size - room
+        prices.append((p.cost(min(s for s in p.sizes if s >= used)) / used, size))
+    least = min(price for price, _ in prices)
+    return next(size for price, size in prices if price <= least + 1e-12)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_joint_sizes_as_one_by_one(seed):
+    """With several sizes, the plan holds the bins of placing piece after piece and choosing the size of each new bin by all sizes."""
+    rng = random.Random(seed)
+    p = P.Params(sizes=(8, 16, 32), fixed=rng.choice([0.0, 2.0, 8.0]), square=rng.choice([0.0, 1 / 64, 1 / 16]))
+    counts = {rng.randint(1, 32): rng.randint(1, 8) for _ in range(rng.randint(1, 12))}
+    pieces = sorted(Counter(counts).elements(), reverse=True)
+    bins = []  # [room, used]
+    for i, piece in enumerate(pieces):
+        fits = [b for b in bins if b[0] >= piece]
+        if not fits:
+            bins.append([cheapest(piece, pieces[i + 1 :], p), 0])
+            fits = bins[-1:]
+        best = min(fits)
+        best[0] -= piece
+        best[1] += piece
+    got = Counter()
+    for _, n, used in P.plan(counts, p).bins:
+        got[used] += n
+    assert sum(n * p.cost(p.downsized(u)) for u, n in got.items()) == pytest.approx(sum(p.cost(p.downsized(u)) for _, u in bins))
+    assert got == Counter(u for _, u in bins)
