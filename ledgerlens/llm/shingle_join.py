@@ -7,8 +7,9 @@ more share one of the first n - ceil(t n) + 1 shingles of each. Sets that meet a
 candidates, and each is decided by its whole sets. The order puts shingles that are frequent in a sample last; the sample decides the speed
 only, never the result. Shingles are compared by 64-bit hashes.
 
-Pairs of one group are not all listed: the sets at a shingle are first compared with the smallest one there; then only pairs that are not
-connected yet are. Candidates are first compared by the quarter of their shingles whose hashes end in two zero bits: similar
+Pairs of one group are not all listed: the sets at a shingle are first compared with the most central one there, which has the fewest rarer
+shingles; then only pairs that are not connected yet are. Near copies of a text have their edits as rarer shingles, so the one with the
+fewest is nearer to the others than these are to each other, and mostly connects those that can be. Candidates are first compared by the quarter of their shingles whose hashes end in two zero bits: similar
 sets differ in few members altogether, so in few of these, and most candidates go without their whole sets being moved.
 """
 
@@ -124,9 +125,9 @@ def links(sets: DataFrame, texts: DataFrame, percent: int, size: int, radius: in
     again = all_of.groupBy("s").count().where("count > 1").select("s")
     met = cut(all_of.join(again, "s").select("s", "key", "n", "i"))
     named = cut(_named(met, near))
-    low = named.groupBy("s").agg(F.min(F.struct("key", "n", "i", "root")).alias("m")).select("s", F.col("m.key").alias("b"), F.col("m.n").alias("nb"), F.col("m.i").alias("ib"), F.col("m.root").alias("rb"))
-    stars = named.join(low, "s").where("root <> rb").where(_possible("n", "i", "nb", "ib", percent)).select(F.col("key").alias("a"), "b").distinct()
-    stars = cut(stars)
+    low = named.groupBy("s").agg(F.min(F.struct("i", "key", "n", "root")).alias("m")).select("s", F.col("m.key").alias("b"), F.col("m.n").alias("nb"), F.col("m.i").alias("ib"), F.col("m.root").alias("rb"))
+    stars = named.join(low, "s").where("root <> rb").where(_possible("n", "i", "nb", "ib", percent))
+    stars = cut(stars.select(F.greatest("key", "b").alias("a"), F.least("key", "b").alias("b")).distinct())
     known = near.unionByName(_verified(stars, sets, texts, percent, size))
     named = _named(met, known)
     mixed = named.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("s")
