@@ -102,20 +102,21 @@ def segments(text: Column, keys: list[str], whole: Column) -> Column:
 
 
 def declared(candidates: DataFrame, df: DataFrame, v: Vectors, p: Params = Params()) -> DataFrame:
-    """(rid, license, score) for the rows of candidates (rid, segs) that declare a license."""
+    """(rid, license, score) for the rows of candidates (rid, segs) that declare a license. Equal segments are scored once, however many rows hold them."""
     spark = candidates.sparkSession
     vectors = [(w, told, [weights.get(w, 0.0) for _, _, weights in v.templates]) for w, told in v.told.items()]
     table = F.broadcast(spark.createDataFrame(vectors, "tw string, told double, tv array<double>"))  # bounded by the templates
-    words = candidates.select("rid", F.posexplode("segs").alias("seg", "ws")).select("rid", "seg", F.explode("ws").alias("w"))
-    counted = words.groupBy("rid", "seg", "w").agg(F.count("*").alias("k")).join(df, "w", "left").join(table, F.col("w") == F.col("tw"), "left")
+    held = candidates.select("rid", F.explode(F.array_distinct("segs")).alias("ws")).select("rid", F.sha2(F.concat_ws(" ", "ws"), 256).alias("seg"), "ws")
+    words = held.dropDuplicates(["seg"]).select("seg", F.explode("ws").alias("w"))
+    counted = words.groupBy("seg", "w").agg(F.count("*").alias("k")).join(df, "w", "left").join(table, F.col("w") == F.col("tw"), "left")
     weighted = counted.withColumn("v", F.col("k") * (F.log((1 + F.lit(v.n)) / (1 + F.coalesce("df", F.lit(0)))) + 1) * F.coalesce("told", F.lit(v.other)))
     dots = [F.coalesce(F.sum(F.col("v") * F.get("tv", F.lit(k))), F.lit(0.0)).alias(f"d{k}") for k in range(len(v.templates))]
-    summed = weighted.groupBy("rid", "seg").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), *dots)
+    summed = weighted.groupBy("seg").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), *dots)
     scores = F.array(*[F.struct(F.round(F.col(f"d{k}") / (F.col("norm") * F.lit(norm)), 6).alias("score"), F.lit(-k).alias("rank"), F.lit(name).alias("license")) for k, (name, norm, _) in enumerate(v.templates)])
-    best = summed.select("rid", scores.alias("scores")).withColumn("best", F.array_max("scores")).where(F.col("best.score") >= p.threshold)
+    best = summed.select("seg", scores.alias("scores")).withColumn("best", F.array_max("scores")).where(F.col("best.score") >= p.threshold)
     rival = F.array_max(F.transform(F.filter("scores", lambda x: x["license"] != F.col("best.license")), lambda x: x["score"]))
-    clear = best.where(F.col("best.score") >= F.round(F.coalesce(rival, F.lit(0.0)) + p.margin, 6)).select("rid", F.struct((F.col("best.license") != RESERVED).alias("named"), "best").alias("b"))
-    return clear.groupBy("rid").agg(F.max("b").alias("b")).select("rid", F.col("b.best.license").alias("license"), F.col("b.best.score").alias("score"))
+    clear = best.where(F.col("best.score") >= F.round(F.coalesce(rival, F.lit(0.0)) + p.margin, 6)).select("seg", F.struct((F.col("best.license") != RESERVED).alias("named"), "best").alias("b"))
+    return held.select("rid", "seg").join(clear, "seg").groupBy("rid").agg(F.max("b").alias("b")).select("rid", F.col("b.best.license").alias("license"), F.col("b.best.score").alias("score"))
 
 
 def scan(files: DataFrame, p: Params = Params(), file_id: str = "doc_id", path: str = "path", text: str = "text") -> DataFrame:
