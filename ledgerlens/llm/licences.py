@@ -8,7 +8,11 @@ above it that has a licence file.
 
 Only segments with one of the key tokens are compared. The key tokens of a template are all but its lightest ones whose joint norm
 stays below ``threshold`` times the template's: by the Cauchy-Schwarz inequality a segment without a key token can't reach the
-threshold. So the filter loses nothing. Segments are small tables of words, joined to the document frequencies of all words by a shuffle.
+threshold. So the filter loses nothing. By the same inequality the cosine is at most the share that the words of templates have in the
+norm of a segment. Their weights are known before any join, and other words weigh at least what their document frequency allows, which is
+known for the ``common`` most frequent ones and at most that of the last of these for the rest. A segment whose share stays below the
+threshold is left out as well, such as a line of a key token with other lines around it. Segments are small tables of words, joined to
+the document frequencies of all words by a shuffle.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ RESERVED = "proprietary"
 class Params:
     threshold: float = 0.7
     margin: float = 0.02  # by which the best license must be nearer than the next
+    common: int = 1024  # words whose document frequencies bound the norms from below; more are slower to test, none changes the result
     templates: dict = field(default_factory=lambda: TEMPLATES)
 
     def listed(self) -> list[tuple[str, str]]:
@@ -69,6 +74,10 @@ class Vectors:
     n: int
     told: dict[str, float]
     other: float  # of a word in no template
+    df: dict[str, int]
+
+    def weight(self, w: str, df: int) -> float:
+        return (math.log((1 + self.n) / (1 + df)) + 1) * self.told.get(w, self.other)
 
 
 def weigh(n: int, df: dict[str, int], p: Params = Params()) -> Vectors:
@@ -84,18 +93,45 @@ def weigh(n: int, df: dict[str, int], p: Params = Params()) -> Vectors:
             rest += weights[w] ** 2
             if rest >= (p.threshold * norm) ** 2 * (1 - 1e-9):
                 keys.add(w)
-    return Vectors(out, sorted(keys), n, told, 1 + math.log(t) / 2)
+    return Vectors(out, sorted(keys), n, told, 1 + math.log(t) / 2, df)
+
 
+def in_reach(ws: Column, v: Vectors, common: dict[str, int], p: Params = Params()) -> Column:
+    """Whether the words of templates have so large a share in the norm of a segment that a template can be near.
 
-def segments(text: Column, keys: list[str], whole: Column) -> Column:
-    """Token arrays of the segments that hold a key token: sentences of lines, two lines in a row, and the whole text where ``whole``."""
-    body, wanted = F.coalesce(text, F.lit("")), F.lit(keys)
+    ``common`` are the document frequencies of the most frequent words; no other word has a larger one than the last of them.
+    The squares of words outside the templates are added as if none stood twice, and with logarithms rounded down to halves.
+    """
+    rarity = lambda df: math.log((1 + v.n) / (1 + df))
+    square = lambda r: ((r + 1) * v.other) ** 2
+    rest, levels = square(rarity(min(common.values(), default=v.n))), {}
+    for w, df in common.items():
+        if w not in v.told:
+            levels.setdefault(square(math.floor(2 * rarity(df)) / 2), []).append(w)
+    weights = F.map_from_arrays(F.lit(list(v.told)), F.lit([v.weight(w, v.df.get(w, 0)) for w in v.told]))
+
+    def outside(x: Column) -> Column:
+        least = F.lit(rest)
+        for level, held in sorted(levels.items(), reverse=True):
+            least = F.when(x.isin(held), level).otherwise(least)
+        return F.when(x.isin(sum(levels.values(), [])), least).otherwise(rest) if levels else least
+
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    times = lambda w, t: F.size(t) - F.size(F.array_remove(t, w))
+    inside = let(F.filter(ws, lambda x: x.isin(list(v.told))), lambda t: total(F.transform(F.array_distinct(t), lambda w: F.pow(times(w, t) * F.element_at(weights, w), F.lit(2.0)))))
+    least = (max(p.threshold - 1e-6, 0.0)) ** 2 * (1 - 1e-9)  # scores are rounded to six digits
+    return inside * (1 - least) >= total(F.transform(F.filter(ws, lambda x: ~x.isin(list(v.told))), outside)) * least
+
+
+def segments(text: Column, v: Vectors, common: dict[str, int], whole: Column, p: Params = Params()) -> Column:
+    """Token arrays of the segments that hold a key token and may be near a template: sentences of lines, two lines in a row, and the whole text where ``whole``."""
+    body, wanted = F.coalesce(text, F.lit("")), F.lit(v.keys)
 
     def of(lines: Column) -> Column:
         sentences = F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE_END)))
         following = F.when(F.size(lines) > 1, F.zip_with(F.slice(lines, F.lit(1), F.size(lines) - 1), F.slice(lines, F.lit(2), F.size(lines) - 1), lambda a, b: F.concat_ws(" ", a, b)))
         made = F.concat(sentences, F.coalesce(following, F.array().cast("array<string>")), F.when(whole, F.array(body)).otherwise(F.array().cast("array<string>")))
-        return F.filter(F.transform(made, lambda x: tokens(x)), lambda w: F.arrays_overlap(w, wanted))
+        return F.filter(F.transform(made, lambda x: tokens(x)), lambda w: F.arrays_overlap(w, wanted) & in_reach(w, v, common, p))
 
     found = let(F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]")), of)
     return F.when(F.arrays_overlap(tokens(body), wanted), found)
@@ -132,8 +168,9 @@ def scan(files: DataFrame, p: Params = Params(), file_id: str = "doc_id", path:
     df = cut(document_frequencies(rows))
     known = {r["w"]: r["df"] for r in df.where(F.col("w").isin([*vocabulary(p), ""])).collect()}
     v = weigh(known.pop("", 0), known, p)
+    common = {r["w"]: r["df"] for r in df.where("w <> ''").orderBy(F.desc("df"), "w").limit(p.common).collect()}
     is_file = F.coalesce(F.substring_index("path", "/", -1).rlike(LICENCE_FILE), F.lit(False))
-    narrow = rows.select("file_id", "path", is_file.alias("is_file"), F.regexp_replace("path", r"/?[^/]*$", "").alias("dir"), segments(F.col("text"), v.keys, is_file).alias("segs"), F.monotonically_increasing_id().alias("rid"))
+    narrow = rows.select("file_id", "path", is_file.alias("is_file"), F.regexp_replace("path", r"/?[^/]*$", "").alias("dir"), segments(F.col("text"), v, common, is_file, p).alias("segs"), F.monotonically_increasing_id().alias("rid"))
     narrow = cut(narrow)  # from here on a row keeps its number
     own = declared(narrow.where(F.size("segs") > 0), df.where("w <> ''"), v, p)
     found = cut(narrow.drop("segs").join(own, "rid", "left").drop("rid"))
